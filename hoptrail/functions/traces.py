@@ -43,6 +43,12 @@ def hour_key() -> Column:
     return date_key() * 100 + F.col("hour")
 
 
+def cell_start(ts: Column, seconds: int) -> Column:
+    """Start of the time cell that holds `ts`, in microseconds; exact integers."""
+    micros = F.unix_micros(ts)
+    return micros - F.pmod(micros, F.lit(seconds * 1_000_000))
+
+
 def iso_time(ts: Column) -> Column:
     """ISO text; a fraction only where there is one, then with six digits."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import NO_CALLER
-from hoptrail.functions.traces import present, service_node
+from hoptrail.functions.traces import cell_start, present, service_node
 from hoptrail.plans.filters import EVERYTHING, TraceFilter
 
 
@@ -27,10 +27,7 @@ def call_chains(
         .where(present("id_transaccion") & (F.col("id_transaccion") != NO_CALLER))
         .withColumn(
             "segment",
-            F.coalesce(
-                F.floor(F.unix_micros("event_timestamp") / F.lit(segment_seconds * 1_000_000)),
-                F.lit(2**62),
-            ),
+            F.coalesce(cell_start(F.col("event_timestamp"), segment_seconds), F.lit(2**62)),
         )
     )
     keys = ["id_transaccion", "segment"]

@@ -130,10 +130,14 @@ def cascades(
     """Failure share per service and minute beside that of each service it calls.
 
     `edges` has `source` and `target` nodes (`zone/service`): declared ones from
-    the manifests or observed ones. A callee idle in that minute, like a missing
+    the manifests or observed ones. Requests to a resource without a service
+    name are left to `failures_by_minute`, as no edge can name it. A callee idle in that minute, like a missing
     one, has 0 requests and no share.
     """
-    failing = failures_by_minute(traces, flt)
+    # The same rows serve as callers and as callees, so one shuffle serves both.
+    failing = failures_by_minute(traces, flt).where(
+        "minute IS NOT NULL AND service IS NOT NULL"
+    )
     callers = failing.where(F.col("failure_share") >= min_share)
     callees = failing.select(
         "minute",

@@ -160,7 +160,6 @@ def service_catalogue(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataF
         flt.apply(traces, by_endpoint=False)
         .select("zona", service_name(F.col("id_recurso")).alias("service"))
         .where("service IS NOT NULL")
-        .distinct()
         .groupBy("zona")
         .agg(F.sort_array(F.collect_set("service")).alias("services"))
     )

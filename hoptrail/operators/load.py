@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hoptrail.functions.traces import hour_of_day
+from hoptrail.functions.traces import cell_start, hour_of_day
 from hoptrail.plans.filters import EVERYTHING, TraceFilter
 
 # Expected load by hour of day; straight lines between the points.
@@ -108,7 +108,7 @@ def rising_zones(
     A step without traffic counts as zero. The window per zone runs over counts
     per step, so its size depends on the time span and not on the traffic.
     """
-    step = F.floor(F.unix_micros("event_timestamp") / F.lit(step_seconds * 1_000_000))
+    step = cell_start(F.col("event_timestamp"), step_seconds)
     counts = (
         flt.apply(traces)
         .where(F.col("event_timestamp").isNotNull())
@@ -116,10 +116,11 @@ def rising_zones(
         .agg(F.count(F.lit(1)).alias("requests"))
     )
     in_order = Window.partitionBy("zona").orderBy("step")
+    width = step_seconds * 1_000_000
 
     # Only the oldest count of a rise can be zero, i.e. have no row.
     def count_before(back: int) -> Column:
-        adjacent = F.lag("step", back).over(in_order) == F.col("step") - back
+        adjacent = F.lag("step", back).over(in_order) == F.col("step") - back * width
         return F.when(adjacent, F.lag("requests", back).over(in_order)).otherwise(0)
 
     names = [f"_back{back}" for back in range(1, steps + 1)]
@@ -129,7 +130,7 @@ def rising_zones(
         rises = rises & (F.col(newer) > F.col(older))
     return past.where(rises).select(
         "zona",
-        F.timestamp_seconds(F.col("step") * step_seconds).alias("step_start"),
+        F.timestamp_micros("step").alias("step_start"),
         "requests",
         F.col(names[-1]).alias("requests_before"),
     )

@@ -74,16 +74,16 @@ def recent_traces(traces: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def zones(traces: DataFrame) -> DataFrame:
-    return traces.select("zona").distinct().orderBy("zona")
+    return traces.select("zona").distinct()
 
 
 def endpoints(traces: DataFrame, chosen_zones: list[str] | None = None) -> DataFrame:
     chosen = TraceFilter(zones=chosen_zones).apply(traces)
-    return chosen.select("endpoint").distinct().orderBy("endpoint")
+    return chosen.select("endpoint").distinct()
 
 
 def consumers(traces: DataFrame) -> DataFrame:
-    return traces.select("id_consumer").distinct().orderBy("id_consumer")
+    return traces.select("id_consumer").distinct()
 
 
 def top_consumers(traces: DataFrame, limit: int = 10) -> DataFrame:

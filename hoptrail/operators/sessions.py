@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import person_kind
-from hoptrail.functions.traces import is_error
+from hoptrail.functions.traces import cell_start, is_error
 from hoptrail.plans.filters import EVERYTHING, TraceFilter
 
 # The endpoint behind each step of a visit, in order.
@@ -27,11 +27,10 @@ FUNNEL_STEPS = {
 def _sessions(
     traces: DataFrame, gap_seconds: int, measures: dict[str, Column]
 ) -> DataFrame:
-    micros = F.unix_micros("event_timestamp")
-    gap = gap_seconds * 1_000_000
+    cell = cell_start(F.col("event_timestamp"), gap_seconds)
     cells = (
         traces.where(F.col("event_timestamp").isNotNull())
-        .groupBy("id_consumer", F.floor(micros / F.lit(gap)).alias("cell"))
+        .groupBy("id_consumer", cell.alias("cell"))
         .agg(
             F.min("event_timestamp").alias("first"),
             F.max("event_timestamp").alias("last"),
@@ -40,7 +39,7 @@ def _sessions(
     )
     in_order = Window.partitionBy("id_consumer").orderBy("cell")
     pause = F.unix_micros("first") - F.unix_micros(F.lag("last").over(in_order))
-    starts = F.when(pause.isNull() | (pause > gap), 1).otherwise(0)
+    starts = F.when(pause.isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0)
     return (
         cells.withColumn("starts", starts)
         .withColumn("session", F.sum("starts").over(in_order))

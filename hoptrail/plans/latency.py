@@ -33,8 +33,10 @@ def latency_profile(
         F.count(F.lit(1)).alias("n"), *[m.alias(name) for name, m in measures.items()]
     )
 
-    per_key = Window.partitionBy(*keys)
-    upwards = per_key.orderBy(LATENCY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One order for both frames, so that the rows are sorted once.
+    by_latency = Window.partitionBy(*keys).orderBy(LATENCY)
+    per_key = by_latency.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upwards = by_latency.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     latency = F.col(LATENCY).cast("double")
     timed = F.when(F.col(LATENCY).isNotNull(), F.col("n")).otherwise(0)
     ranked = (
