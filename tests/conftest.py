@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .config("spark.checkpoint.dir", str(scratch / "checkpoints"))
         .getOrCreate()
