@@ -42,11 +42,14 @@ def setting(spark: SparkSession, key: str, value: str):
 def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint a small intermediate result that is read more than once.
 
-    The folder is the cluster's `spark.checkpoint.dir`; only a session without
-    that setting (a local test) gets a folder of its own.
+    The folder is the cluster's `spark.checkpoint.dir`. Where that is unset, a
+    local session gets a folder of its own and a cluster is refused, as its
+    machines share no temporary folder.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="hoptrail-checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="hoptrail-checkpoint-"))
     return df.checkpoint()

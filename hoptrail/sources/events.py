@@ -1,6 +1,7 @@
 """Click events seen as traces, for installations without a proxy log.
 
-Each event becomes one request; see `as_traces` for the mapping.
+Each event becomes one request: its type gives endpoint and service, its user
+the zone and the caller, its property `k` the sizes and the kind of failure.
 """
 
 from __future__ import annotations
@@ -9,60 +10,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import CALLER_COLUMNS
-from hoptrail.functions.traces import time_parts
 from hoptrail.schema import TRACE_COLUMNS
 
-ENDPOINTS = {
-    "view": "/catalog-api/products",
-    "click": "/catalog-api/products",
-    "purchase": "/orders-api/checkout",
-    "signup": "/auth-api/validate",
-    "error": "/payments-api/checkout",
-}
-RESOURCES = {"purchase": "orders-api-1", "signup": "auth-api-1", "error": "payments-api-1"}
-OTHER_RESOURCE = "catalog-api-1"
+FACTS = (
+    "CAST(event_id AS STRING) AS id_transaccion",
+    "CAST(ts AS TIMESTAMP) AS event_timestamp",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "floor(value) AS time_transaction",
+    "event_type",
+    "user_id",
+    "concat('zone', user_id % 3 + 1) AS zona",
+)
 
-
-def _pick(column, choices: dict[str, str], default: str | None = None):
-    chosen = F.lit(default)
-    for value, label in choices.items():
-        chosen = F.when(column == value, label).otherwise(chosen)
-    return chosen
+TRACE = (
+    "date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ssZ\") AS date_transaction",
+    """CASE event_type WHEN 'view' THEN '/catalog-api/products'
+        WHEN 'click' THEN '/catalog-api/products'
+        WHEN 'purchase' THEN '/orders-api/checkout'
+        WHEN 'signup' THEN '/auth-api/validate'
+        WHEN 'error' THEN '/payments-api/checkout' END AS endpoint""",
+    """CASE user_id % 5 WHEN 1 THEN '-'
+        WHEN 2 THEN concat('external/user-casual-', user_id)
+        WHEN 3 THEN concat(zona, '/orders-api-1')
+        WHEN 4 THEN 'catalog-api-1' END AS id_consumer""",
+    """CASE event_type WHEN 'purchase' THEN 'orders-api-1'
+        WHEN 'signup' THEN 'auth-api-1'
+        WHEN 'error' THEN 'payments-api-1'
+        ELSE 'catalog-api-1' END AS id_recurso""",
+    "id_transaccion",
+    "CAST(NULL AS STRING) AS ip_consumer",
+    "CAST(NULL AS STRING) AS ip_transaccion",
+    "CAST(k AS BIGINT) AS req_body_size",
+    "CAST(k * 7 AS BIGINT) AS resp_body_size",
+    """CASE WHEN event_type <> 'error' THEN 200 WHEN k < 50 THEN 500
+        ELSE 404 END AS status_response""",
+    "time_transaction",
+    "'GET' AS tipo_operacion",
+    "CAST(NULL AS STRING) AS query_params",
+    "event_timestamp",
+    "zona",
+    "year(event_timestamp) AS year",
+    "month(event_timestamp) AS month",
+    "day(event_timestamp) AS day",
+    "hour(event_timestamp) AS hour",
+)
 
 
 def as_traces(events: DataFrame) -> DataFrame:
-    kind, user = F.col("event_type"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    zone_number = (user % 3 + 1).cast("string")
-    caller = (
-        F.when(user % 5 == 1, "-")
-        .when(user % 5 == 2, F.concat(F.lit("external/user-casual-"), user.cast("string")))
-        .when(user % 5 == 3, F.concat(F.lit("zone"), zone_number, F.lit("/orders-api-1")))
-        .when(user % 5 == 4, "catalog-api-1")
-    )
-    status = (
-        F.when((kind == "error") & (k < 50), 500).when(kind == "error", 404).otherwise(200)
-    )
-    ts = F.col("ts").cast("timestamp")
-    base = events.select(
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssZ").alias("date_transaction"),
-        _pick(kind, ENDPOINTS).alias("endpoint"),
-        caller.alias("id_consumer"),
-        _pick(kind, RESOURCES, OTHER_RESOURCE).alias("id_recurso"),
-        F.col("event_id").cast("string").alias("id_transaccion"),
-        F.lit(None).cast("string").alias("ip_consumer"),
-        F.lit(None).cast("string").alias("ip_transaccion"),
-        k.cast("bigint").alias("req_body_size"),
-        (k * 7).cast("bigint").alias("resp_body_size"),
-        status.alias("status_response"),
-        F.floor("value").alias("time_transaction"),
-        F.lit("GET").alias("tipo_operacion"),
-        F.lit(None).cast("string").alias("query_params"),
-        ts.alias("event_timestamp"),
-        F.concat(F.lit("zone"), zone_number).alias("zona"),
-    )
     consumer = F.col("id_consumer")
-    return base.withColumns(
-        {name: rule(consumer) for name, rule in CALLER_COLUMNS.items()}
-        | time_parts(F.col("event_timestamp"))
-    ).select(*TRACE_COLUMNS)
+    return (
+        events.selectExpr(*FACTS)
+        .selectExpr(*TRACE)
+        .withColumns({name: rule(consumer) for name, rule in CALLER_COLUMNS.items()})
+        .select(*TRACE_COLUMNS)
+    )

@@ -45,9 +45,10 @@ def write_slot(batch: DataFrame, batch_id: int, root: str, now_ms: int) -> None:
     )
 
 
-def _value(name: str, key: str) -> int | None:
-    found, _, value = name.partition("=")
-    return int(value) if found == key else None
+def _values(names: list[str], key: str) -> list[int]:
+    """Partition values of the folders `<key>=<value>`, in order."""
+    pairs = [name.partition("=") for name in names]
+    return sorted(int(value) for found, _, value in pairs if found == key)
 
 
 def drop_expired(
@@ -56,15 +57,16 @@ def drop_expired(
     """Delete slots older than twice the retention; returns how many.
 
     The second span is grace for readers that listed a slot just in time.
+    Batches arrive in the order of their ids, so the first slot still wanted
+    ends the search.
     """
     oldest, dropped = now_ms - 2 * retention_seconds * 1000, 0
-    for slot in list_names(spark, root):
-        if _value(slot, "batch_id") is None:
-            continue
-        written = [_value(name, "ingest_ms") for name in list_names(spark, f"{root}/{slot}")]
-        if all(moment is None or moment < oldest for moment in written):
-            delete(spark, f"{root}/{slot}")
-            dropped += 1
+    for batch_id in _values(list_names(spark, root), "batch_id"):
+        slot = f"{root}/batch_id={batch_id}"
+        if any(moment >= oldest for moment in _values(list_names(spark, slot), "ingest_ms")):
+            break
+        delete(spark, slot)
+        dropped += 1
     return dropped
 
 
