@@ -77,7 +77,7 @@ def bytes_by_minute(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFra
 
 
 def latency_by_minute(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
-    profile = latency_profile(_per_minute(traces, flt), ["time"], percents=[95])
+    profile = latency_profile(_per_minute(traces, flt), ["time"], percents=[95], spread=False)
     return _in_time_order(
         profile.select(
             "time",

@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hoptrail.functions.traces import is_5xx, present, service_node
+from hoptrail.functions.traces import is_5xx, present
 from hoptrail.plans.filters import EVERYTHING, TraceFilter
+from hoptrail.plans.services import node, per_service
 
 
 def _timed(traces: DataFrame, flt: TraceFilter, seconds: int) -> DataFrame:
@@ -103,21 +104,17 @@ def floods(
 
 def failures_by_minute(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
     """Requests and 5xx answers per service (`zone/service`) and minute."""
-    return (
-        _timed(traces, flt, 60)
-        .where(present("id_recurso"))
-        .groupBy("w", service_node().alias("service"))
-        .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.count_if(is_5xx()).alias("failures"),
-        )
-        .select(
-            F.col("w.start").alias("minute"),
-            "service",
-            "requests",
-            "failures",
-            (F.col("failures") / F.col("requests").cast("double")).alias("failure_share"),
-        )
+    totals = per_service(
+        _timed(traces, flt, 60).where(present("id_recurso")),
+        ["w"],
+        {"requests": F.count(F.lit(1)), "failures": F.count_if(is_5xx())},
+    )
+    return totals.select(
+        F.col("w.start").alias("minute"),
+        node().alias("service"),
+        "requests",
+        "failures",
+        (F.col("failures") / F.col("requests").cast("double")).alias("failure_share"),
     )
 
 

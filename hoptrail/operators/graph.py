@@ -9,31 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import EXTERNAL, UNKNOWN
-from hoptrail.functions.traces import (
-    is_2xx,
-    is_5xx,
-    percent,
-    present,
-    service_name,
-    service_node,
-)
+from hoptrail.functions.traces import is_2xx, is_5xx, percent, present
 from hoptrail.plans.filters import EVERYTHING, TraceFilter
 from hoptrail.plans.numbering import number_rows
+from hoptrail.plans.services import node, per_service
 
 # Fixed value: title of the node that stands for all outside callers.
 CLIENTS = "clients"
 
 
-def _caller() -> dict[str, Column]:
+def _caller() -> list[Column]:
     zone, service = F.col("source_zone"), F.col("source_service")
     outside = (
         (F.col("consumer_type") == EXTERNAL) | zone.isNull() | zone.isin("", UNKNOWN)
     )
-    return {
-        "id": F.when(outside, EXTERNAL).otherwise(F.concat(zone, F.lit("/"), service)),
-        "title": F.when(outside, CLIENTS).otherwise(service),
-        "subtitle": F.when(outside, EXTERNAL).otherwise(zone),
-    }
+    return [
+        F.when(outside, EXTERNAL).otherwise(F.concat(zone, F.lit("/"), service)).alias("source"),
+        F.when(outside, CLIENTS).otherwise(service).alias("caller"),
+        F.when(outside, EXTERNAL).otherwise(zone).alias("caller_zone"),
+    ]
 
 
 def service_nodes(
@@ -45,35 +39,34 @@ def service_nodes(
     The traces are scanned once: pairs are counted first, and only the few
     counted pairs are then taken apart into their two ends.
     """
-    pairs = (
-        flt.apply(traces, by_endpoint=False)
-        .select(
-            F.struct(*[c.alias(name) for name, c in _caller().items()]).alias("caller"),
-            F.when(
-                present("id_recurso"),
-                F.struct(
-                    service_node().alias("id"),
-                    service_name(F.col("id_recurso")).alias("title"),
-                    F.col("zona").alias("subtitle"),
-                ),
-            ).alias("callee"),
-        )
-        .groupBy("caller", "callee")
-        .agg(F.count(F.lit(1)).alias("requests"))
+    named = present("id_recurso")
+    pairs = per_service(
+        flt.apply(traces, by_endpoint=False),
+        _caller(),
+        {"requests": F.count(F.lit(1)), "named": F.count_if(named)},
     )
     ends = pairs.select(
         F.explode(
             F.array(
-                F.struct(F.lit(0).alias("end"), F.col("caller").alias("node"), "requests"),
+                F.struct(
+                    F.lit(0).alias("end"),
+                    F.col("source").alias("id"),
+                    F.col("caller").alias("title"),
+                    F.col("caller_zone").alias("subtitle"),
+                    "requests",
+                ),
                 F.struct(
                     F.lit(1).alias("end"),
-                    F.col("callee").alias("node"),
+                    node().alias("id"),
+                    F.col("service").alias("title"),
+                    F.col("zona").alias("subtitle"),
                     F.lit(0).cast("bigint").alias("requests"),
                 ),
             )
-        ).alias("e")
-    ).where("e.node IS NOT NULL")
-    keys = ["e.node.id", "e.node.title", "e.node.subtitle"] + ([] if merge else ["e.end"])
+        ).alias("e"),
+        "named",
+    ).where("e.end = 0 OR named > 0")
+    keys = ["e.id", "e.title", "e.subtitle"] + ([] if merge else ["e.end"])
     return (
         ends.groupBy(*keys)
         .agg(F.sum("e.requests").alias("mainstat"))
@@ -83,13 +76,21 @@ def service_nodes(
 
 def service_calls(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
     """Observed calls: source, target, number of requests, mean latency."""
+    calls = per_service(
+        flt.apply(traces, by_endpoint=False).where(present("id_recurso")),
+        _caller()[:1],
+        {
+            "requests": F.count(F.lit(1)),
+            "time": F.sum(F.col("time_transaction").cast("double")),
+            "timed": F.count("time_transaction"),
+        },
+    )
+    # A target of unknown service is null in every zone, hence added up once more.
     return (
-        flt.apply(traces, by_endpoint=False)
-        .where(present("id_recurso"))
-        .groupBy(_caller()["id"].alias("source"), service_node().alias("target"))
+        calls.groupBy("source", node().alias("target"))
         .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.avg("time_transaction").alias("mean_latency"),
+            F.sum("requests").alias("requests"),
+            F.try_divide(F.sum("time"), F.sum("timed")).alias("mean_latency"),
         )
     )
 
@@ -136,29 +137,22 @@ def zone_matrix(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
 
 
 def service_error_ranking(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
-    total = F.count(F.lit(1))
-    return (
-        flt.apply(traces, by_endpoint=False)
-        .where(present("id_recurso"))
-        .groupBy("zona", service_name(F.col("id_recurso")).alias("service"))
-        .agg(
-            F.round(percent(F.count_if(is_5xx()), total), 2).alias("error_rate_pct"),
-            total.alias("total"),
-        )
-        .select(
-            F.concat("zona", F.lit("/"), "service").alias("servicio"),
-            "error_rate_pct",
-            "total",
-        )
-        .orderBy(F.desc_nulls_last("error_rate_pct"), F.asc_nulls_last("servicio"))
+    totals = per_service(
+        flt.apply(traces, by_endpoint=False).where(present("id_recurso")),
+        [],
+        {"total": F.count(F.lit(1)), "failures": F.count_if(is_5xx())},
     )
+    return totals.select(
+        node().alias("servicio"),
+        F.round(percent(F.col("failures"), F.col("total")), 2).alias("error_rate_pct"),
+        "total",
+    ).orderBy(F.desc_nulls_last("error_rate_pct"), F.asc_nulls_last("servicio"))
 
 
 def service_catalogue(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
     """Services seen per zone, one row each zone with a sorted list."""
     return (
-        flt.apply(traces, by_endpoint=False)
-        .select("zona", service_name(F.col("id_recurso")).alias("service"))
+        per_service(flt.apply(traces, by_endpoint=False), [], {"n": F.count(F.lit(1))})
         .where("service IS NOT NULL")
         .groupBy("zona")
         .agg(F.sort_array(F.collect_set("service")).alias("services"))
@@ -206,9 +200,8 @@ def edge_drift(declared: DataFrame, calls: DataFrame, traces_per_service: DataFr
 
 
 def requests_per_service(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
-    return (
-        flt.apply(traces, by_endpoint=False)
-        .where(present("id_recurso"))
-        .groupBy(service_node().alias("node"))
-        .agg(F.count(F.lit(1)).alias("served"))
+    """Requests answered by each service, as `node` (`zone/service`) and `served`."""
+    totals = per_service(
+        flt.apply(traces, by_endpoint=False), [], {"served": F.count(F.lit(1))}
     )
+    return totals.where("service IS NOT NULL").select(node().alias("node"), "served")

@@ -21,8 +21,9 @@ def latency_profile(
     keys: Sequence[str],
     percents: Sequence[int],
     measures: dict[str, Column] | None = None,
+    spread: bool = True,
 ) -> DataFrame:
-    """Per key: `n`, `mean`, `stddev`, `p<percent>` and the given measures.
+    """Per key: `n`, `mean`, `stddev` (if `spread`), `p<percent>` and the measures.
 
     A measure is a count or a sum, so that partial results may be added up.
     Percentiles are observed values: the least one with at least that share of
@@ -37,30 +38,27 @@ def latency_profile(
     by_latency = Window.partitionBy(*keys).orderBy(LATENCY)
     per_key = by_latency.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upwards = by_latency.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    latency = F.col(LATENCY).cast("double")
-    timed = F.when(F.col(LATENCY).isNotNull(), F.col("n")).otherwise(0)
-    ranked = (
-        histogram.withColumn("_timed", timed)
-        .withColumns(
-            {
-                "_all": F.sum("_timed").over(per_key),
-                "_total": F.sum(latency * F.col("_timed")).over(per_key),
-                "_upto": F.sum("_timed").over(upwards),
-            }
-        )
-        .withColumn("_mean", F.try_divide("_total", "_all"))
+    latency, timed = F.col(LATENCY).cast("double"), F.col("_timed")
+    ranked = histogram.withColumn(
+        "_timed", F.when(F.col(LATENCY).isNotNull(), F.col("n")).otherwise(0)
+    ).withColumns(
+        {"_all": F.sum(timed).over(per_key), "_upto": F.sum(timed).over(upwards)}
+        | ({"_total": F.sum(latency * timed).over(per_key)} if spread else {})
     )
 
     def percentile(percent: int) -> Column:
         reached = F.col("_upto") * 100 >= F.col("_all") * percent
         return F.min(F.when(reached, latency)).alias(f"p{percent}")
 
-    deviation = F.sum(F.col("_timed") * F.pow(latency - F.col("_mean"), F.lit(2)))
-    freedom = F.sum("_timed") - 1
-    return ranked.groupBy(*keys).agg(
+    results = [
         F.sum("n").alias("n"),
-        F.first("_mean").alias("mean"),
-        F.when(freedom > 0, F.sqrt(F.try_divide(deviation, freedom))).alias("stddev"),
+        F.try_divide(F.sum(latency * timed), F.sum(timed)).alias("mean"),
         *[percentile(p) for p in percents],
         *[F.sum(name).alias(name) for name in measures],
-    )
+    ]
+    if spread:
+        off_mean = latency - F.try_divide("_total", "_all")
+        freedom = F.sum(timed) - 1
+        variance = F.try_divide(F.sum(timed * off_mean * off_mean), freedom)
+        results.append(F.when(freedom > 0, F.sqrt(variance)).alias("stddev"))
+    return ranked.groupBy(*keys).agg(*results)
