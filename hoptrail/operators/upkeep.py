@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptrail.functions.traces import hour_key
-from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL
+from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL, TRACE_DDL
 from hoptrail.session import setting
 from hoptrail.sources.files import exists
 from hoptrail.sources.tables import fill_callers, in_partitions, leaf_files, read_traces
@@ -65,12 +65,12 @@ class Selection:
 def _promotions(spark: SparkSession, history: str) -> DataFrame:
     """What was last promoted, per partition."""
     path = f"{history}/{PROMOTIONS}"
-    if not exists(spark, path):
-        return spark.createDataFrame([], PROMOTION_DDL)
+    if exists(spark, path):
+        promotions = spark.read.schema(PROMOTION_DDL).parquet(path)
+    else:
+        promotions = spark.createDataFrame([], PROMOTION_DDL)
     return (
-        spark.read.schema(PROMOTION_DDL)
-        .parquet(path)
-        .groupBy(*PARTITION_COLUMNS)
+        promotions.groupBy(*PARTITION_COLUMNS)
         .agg(
             F.max_by("files", "promoted_at").alias("promoted_files"),
             F.max_by("bytes", "promoted_at").alias("promoted_bytes"),
@@ -91,13 +91,6 @@ def plan_compaction(
     `single_file`: nothing to gain, stays in landing; `up_to_date`: promoted.
     """
     now = now or datetime.now(timezone.utc)
-    last = _promotions(spark, history)
-    if "promoted_files" not in last.columns:
-        last = last.select(
-            *PARTITION_COLUMNS,
-            F.col("files").alias("promoted_files"),
-            F.col("bytes").alias("promoted_bytes"),
-        )
     unchanged = (F.col("files") == F.col("promoted_files")) & (
         F.col("bytes") == F.col("promoted_bytes")
     )
@@ -109,7 +102,7 @@ def plan_compaction(
     return (
         leaf_files(spark, landing)
         .where(selection.condition(now))
-        .join(last, PARTITION_COLUMNS, "left")
+        .join(_promotions(spark, history), PARTITION_COLUMNS, "left")
         .select(*PARTITION_COLUMNS, "files", "bytes", action.alias("action"))
     )
 
@@ -160,6 +153,8 @@ def compact(
     now = now or datetime.now(timezone.utc)
     planned = plan_compaction(spark, landing, history, selection, now)
     due = planned.where("action = 'compact'")
+    if due.isEmpty():
+        return _report(spark, planned, history)
 
     rows = in_partitions(read_traces(spark, landing), due.select(*PARTITION_COLUMNS))
     write_history(fill_callers(rows), history, **write_options)
@@ -173,11 +168,11 @@ def compact(
 
 def _report(spark: SparkSession, planned: DataFrame, history: str) -> DataFrame:
     due = planned.where("action = 'compact'").select(*PARTITION_COLUMNS)
-    counts = (
-        in_partitions(read_traces(spark, history), due)
-        .groupBy(*PARTITION_COLUMNS)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    if exists(spark, history):
+        stored = in_partitions(read_traces(spark, history), due)
+    else:
+        stored = spark.createDataFrame([], TRACE_DDL)
+    counts = stored.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
     after = leaf_files(spark, history).select(
         *PARTITION_COLUMNS,
         F.col("files").alias("files_after"),

@@ -18,6 +18,13 @@ RUNTIME_CONF = {
 }
 
 
+# Settings for the builder of a session of one's own.
+START_CONF = {
+    # Building a plan is twice as fast without a call site kept per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the engine's runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():

@@ -36,12 +36,18 @@ def read_legacy_traces(spark: SparkSession, root: str) -> DataFrame:
     return fill_callers(read_traces(spark, root))
 
 
+LEAF_DDL = f"{PARTITION_DDL}, files bigint, bytes bigint, newest timestamp"
+
+
 def leaf_files(spark: SparkSession, root: str) -> DataFrame:
     """Files, bytes and newest change per partition, from the listing alone.
 
     The binary source reports path, size and time without opening a file, and
-    on a streaming sink's folder it lists committed files only.
+    on a streaming sink's folder it lists committed files only. A root that
+    does not exist has no partitions.
     """
+    if not exists(spark, root):
+        return spark.createDataFrame([], LEAF_DDL)
     # Read as text: a zone named `01` must not become the number 1.
     with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from hoptrail.session import configure  # noqa: E402
+from hoptrail.session import START_CONF, configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("hoptrail-tests")
         .config("spark.ui.enabled", "false")
+        .config(map=START_CONF)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.maxMetadataStringLength", "10000")

@@ -3,10 +3,11 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from hoptrail.operators.upkeep import Selection, compact, plan_compaction
+from hoptrail.operators.upkeep import PROMOTIONS, Selection, compact, plan_compaction
 from hoptrail.plans.normalize import normalize
 from hoptrail.schema import PARTITION_COLUMNS, TRACE_COLUMNS
 from hoptrail.sources.events import as_traces
+from hoptrail.sources.files import delete
 from hoptrail.sources.tables import leaf_files, read_legacy_traces, read_traces, trace_view
 from hoptrail.streaming.ingest import start_landing
 
@@ -69,6 +70,24 @@ def test_compaction_keeps_rows_and_cuts_files(spark, lake):
     assert rows(trace_view(spark, landing, history)) == rows(source)
 
 
+def test_an_interrupted_run_is_repeated(spark, lake):
+    landing, history, _, source = lake
+    compact(spark, landing, history, now=AFTER_ALL)
+    delete(spark, f"{history}/{PROMOTIONS}")
+    report = compact(spark, landing, history, now=AFTER_ALL)
+    assert report.where("action = 'compact'").count() > 0
+    assert rows(trace_view(spark, landing, history)) == rows(source)
+
+
+def test_nothing_to_do(spark, tmp_path):
+    landing, history = str(tmp_path / "landing"), str(tmp_path / "history")
+    traces = as_traces(spark.read.parquet(EVENTS)).where("day = 1 AND hour < 4")
+    traces.coalesce(1).write.partitionBy(*PARTITION_COLUMNS).parquet(landing)
+    report = compact(spark, landing, history, now=AFTER_ALL)
+    assert {r.action for r in report.collect()} == {"single_file"}
+    assert rows(trace_view(spark, landing, history)) == rows(traces)
+
+
 def test_late_traces_make_an_hour_due_again(spark, lake):
     landing, history, land, source = lake
     compact(spark, landing, history, now=AFTER_ALL)
