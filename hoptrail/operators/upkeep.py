@@ -107,6 +107,14 @@ def plan_compaction(
     )
 
 
+# A Bloom filter per row group lets a lookup by transaction id skip almost all
+# of them; its size follows the number of distinct ids.
+LOOKUP_INDEX = {
+    "parquet.bloom.filter.enabled#id_transaccion": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+
 def write_history(
     traces: DataFrame,
     history: str,
@@ -129,6 +137,7 @@ def write_history(
             gathered.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", max_records_per_file)
+            .options(**LOOKUP_INDEX)
             .partitionBy(*PARTITION_COLUMNS)
             .parquet(history)
         )

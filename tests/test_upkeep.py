@@ -149,6 +149,22 @@ def test_a_busy_hour_is_split(spark, tmp_path):
     assert trace_view(spark, landing, history).count() == before
 
 
+def test_a_lookup_by_id_skips_row_groups(spark, lake):
+    landing, history, _, _ = lake
+    compact(spark, landing, history, now=AFTER_ALL)
+    known = read_traces(spark, history).first().id_transaccion
+
+    def scanned(id_transaccion):
+        found = read_traces(spark, history).where(F.col("id_transaccion") == id_transaccion)
+        count = len(found.collect())
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return count, scan.metrics().apply("numOutputRows").value()
+
+    assert scanned("no-such-id") == (0, 0)
+    count, rows_read = scanned(known)
+    assert count == 1 and rows_read < read_traces(spark, history).count()
+
+
 def test_pending_partitions_prune_the_landing_scan(spark, lake):
     landing, history, _, _ = lake
     compact(spark, landing, history, now=AFTER_ALL)
