@@ -128,8 +128,8 @@ def cascades(
 
     `edges` has `source` and `target` nodes (`zone/service`): declared ones from
     the manifests or observed ones. Requests to a resource without a service
-    name are left to `failures_by_minute`, as no edge can name it. A callee idle in that minute, like a missing
-    one, has 0 requests and no share.
+    name are left to `failures_by_minute`, as no edge can name it. A callee idle
+    in that minute, like a missing one, has 0 requests and no share.
     """
     # The same rows serve as callers and as callees, so one shuffle serves both.
     failing = failures_by_minute(traces, flt).where(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from hoptrail.functions.traces import iso_time
-from hoptrail.sources.files import delete, list_names
+from hoptrail.sources.files import delete, exists, list_names
 
 # Fixed value: how long a trace stays in the table.
 RETENTION_SECONDS = 15 * 60
@@ -76,7 +76,9 @@ def read_recent(
     retention_seconds: int = RETENTION_SECONDS,
     now_ms: int | None = None,
 ) -> DataFrame:
-    """Payloads that arrived within the retention."""
+    """Payloads that arrived within the retention; none before the first batch."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], SLOT_DDL)
     oldest = (now_ms or _now_ms()) - retention_seconds * 1000
     slots = spark.read.schema(SLOT_DDL).parquet(root)
     return slots.where(F.col("ingest_ms") > oldest)

@@ -22,11 +22,30 @@ def make(spark, rows):
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], SCHEMA)
 
 
+def after(**shift):
+    return T0 + timedelta(**shift)
+
+
+def cycle(count, every, minute=0, **fields):
+    """`count` traces over the seconds of a minute; callables get the number."""
+    return [
+        {
+            "zona": "z",
+            "event_timestamp": after(minutes=minute, seconds=i * every % 60),
+            **{k: v(i) if callable(v) else v for k, v in fields.items()},
+        }
+        for i in range(count)
+    ]
+
+
 moments = st.integers(0, 7200).map(lambda s: T0 + timedelta(seconds=s))
 
 
 @MANY
-@given(st.lists(st.tuples(st.sampled_from(["a", "-", None]), moments), min_size=1, max_size=50), st.sampled_from([60, 300, 1800]))
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "-", None]), moments), min_size=1, max_size=50),
+    st.sampled_from([60, 300, 1800]),
+)
 def test_sessions_against_brute_force(spark, hits, gap):
     expected = Counter()
     by_consumer = defaultdict(list)
@@ -50,25 +69,47 @@ def test_sessions_against_brute_force(spark, hits, gap):
 
 def test_funnel(spark):
     b, c, v = sessions.FUNNEL_STEPS.values()
-    rows = []
-    for person, path in {"external/user-casual-1x": [b, b, c], "external/user-casual-2x": [b], "user-power-3": [b, c, v], "external/user-power-4": [c, v], "zone1/orders-api-1": [v]}.items():
-        rows += [{"id_consumer": person, "endpoint": e, "event_timestamp": T0 + timedelta(seconds=i)} for i, e in enumerate(path)]
-    got = {r.kind: r.asDict() for r in sessions.funnel(make(spark, rows)).collect()}
+    visits = {
+        "external/user-casual-1x": [b, b, c],
+        "external/user-casual-2x": [b],
+        "user-power-3": [b, c, v],
+        "external/user-power-4": [c, v],
+        "zone1/orders-api-1": [v],
+    }
+    rows = [
+        {"id_consumer": person, "endpoint": url, "event_timestamp": after(seconds=i)}
+        for person, path in visits.items()
+        for i, url in enumerate(path)
+    ]
+    got = {r.kind: r for r in sessions.funnel(make(spark, rows)).collect()}
     assert set(got) == {"casual", "power", "other"}
-    assert (got["casual"]["sessions"], got["casual"]["browsing_sessions"], got["casual"]["checkout_sessions"]) == (2, 2, 1)
-    assert got["casual"]["browsing_to_checkout"] == 0.5 and got["casual"]["browsing_requests"] == 3
-    assert (got["power"]["browsing_sessions"], got["power"]["validating_sessions"], got["power"]["validating_requests"]) == (1, 1, 2)
-    assert got["other"]["browsing_to_checkout"] is None
+    casual, power = got["casual"], got["power"]
+    assert (casual.sessions, casual.browsing_sessions, casual.checkout_sessions) == (2, 2, 1)
+    assert (casual.browsing_to_checkout, casual.browsing_requests) == (0.5, 3)
+    assert (power.browsing_sessions, power.validating_sessions) == (1, 1)
+    assert power.validating_requests == 2
+    assert got["other"].browsing_to_checkout is None
 
 
 def test_expected_load_and_phases(spark):
     hours = [0, 4.99, 5, 6.5, 8, 10, 12, 12.5, 15, 17, 18.5, 20, 22, 23.99]
-    rows = spark.createDataFrame([(float(h),) for h in hours], "h double").select(
-        "h", load.expected_load(F.col("h")).alias("e"), load.day_phase(F.col("h")).alias("p")
-    ).collect()
+    hour = F.col("h")
+    rows = (
+        spark.createDataFrame([(float(h),) for h in hours], "h double")
+        .select(load.expected_load(hour).alias("e"), load.day_phase(hour).alias("p"))
+        .collect()
+    )
     expected = [0.1, 0.1, 0.1, 0.4, 0.7, 0.85, 1.0, 1.0, 0.9, 0.8, 0.55, 0.3, 0.2, 0.1005]
     assert [r.e for r in rows] == pytest.approx(expected)
-    assert [r.p for r in rows] == ["night"] * 2 + ["morning_ramp"] * 2 + ["morning_peak"] * 2 + ["midday_peak"] * 2 + ["afternoon"] + ["evening_decline"] * 2 + ["night"] * 3
+    assert [r.p for r in rows] == [
+        *["night"] * 2,
+        *["morning_ramp"] * 2,
+        *["morning_peak"] * 2,
+        *["midday_peak"] * 2,
+        "afternoon",
+        *["evening_decline"] * 2,
+        *["night"] * 3,
+    ]
 
 
 def test_overlay_events_are_half_open_and_first_wins(spark):
@@ -81,41 +122,68 @@ def test_overlay_events_are_half_open_and_first_wins(spark):
 
 
 @MANY
-@given(st.lists(st.tuples(st.sampled_from(["z1", "z2"]), st.integers(0, 60)), min_size=1, max_size=80))
+@given(
+    st.lists(st.tuples(st.sampled_from(["z1", "z2"]), st.integers(0, 60)), min_size=1, max_size=80)
+)
 def test_rising_zones_against_brute_force(spark, hits):
-    df = make(spark, [{"zona": z, "event_timestamp": T0 + timedelta(seconds=s)} for z, s in hits])
+    df = make(spark, [{"zona": z, "event_timestamp": after(seconds=s)} for z, s in hits])
     counts = Counter((z, s // 5) for z, s in hits)
     expected = {
-        (z, T0 + timedelta(seconds=5 * k), n, counts[z, k - 2])
+        (z, after(seconds=5 * k), n, counts[z, k - 2])
         for (z, k), n in counts.items()
         if n > counts[z, k - 1] > counts[z, k - 2]
     }
-    counts += Counter()
     got = {tuple(r) for r in load.rising_zones(df, steps=2).collect()}
     assert got == expected
 
 
 def test_scanner_and_flood(spark):
-    scan = [{"id_consumer": "external/scan", "endpoint": f"/p{i % 12}", "status_response": 404 if i % 10 else 200, "event_timestamp": T0 + timedelta(seconds=i % 60), "zona": "z"} for i in range(60)]
-    flood = [{"id_consumer": "external/flood", "endpoint": "/validate", "status_response": 200, "event_timestamp": T0 + timedelta(minutes=20, seconds=i % 60), "zona": "z"} for i in range(300)]
-    calm = [{"id_consumer": "c", "endpoint": "/validate", "status_response": 200, "event_timestamp": T0 + timedelta(minutes=m, seconds=s), "zona": "z"} for m in range(30) for s in range(0, 60, 3)]
+    scan = cycle(
+        60, 1, id_consumer="external/scan",
+        endpoint=lambda i: f"/p{i % 12}", status_response=lambda i: 404 if i % 10 else 200,
+    )
+    flood = cycle(300, 1, 20, id_consumer="external/flood", endpoint="/validate", status_response=200)
+    calm = [
+        trace
+        for minute in range(30)
+        for trace in cycle(20, 3, minute, id_consumer="c", endpoint="/validate", status_response=200)
+    ]
     df = make(spark, scan + flood + calm)
     found = detect.scanners(df).collect()
-    assert [(r.id_consumer, r.window_start, r.requests, r.not_found, r.paths) for r in found] == [("external/scan", T0, 60, 54, 12)]
+    assert [(r.id_consumer, r.window_start, r.requests, r.not_found, r.paths) for r in found] == [
+        ("external/scan", T0, 60, 54, 12)
+    ]
     floods = detect.floods(df).collect()
-    assert [(r.id_consumer, r.requests, r.trailing_mean) for r in floods] == [("external/flood", 300, 0.0)]
-    # An idle window counts as zero in the trailing mean.
-    gappy = make(spark, [{"id_consumer": "c", "endpoint": "/", "zona": "z", "event_timestamp": T0 + timedelta(minutes=m)} for m in (0, 3, 3)])
-    means = {r.window_start.minute: r.trailing_mean for r in detect.floods(gappy, trailing=4, min_requests=1, factor=0.0).collect()}
+    assert [(r.id_consumer, r.requests, r.trailing_mean) for r in floods] == [
+        ("external/flood", 300, 0.0)
+    ]
+
+
+def test_idle_windows_count_in_the_trailing_mean(spark):
+    rows = [trace for m in (0, 3, 3) for trace in cycle(1, 1, m, id_consumer="c", endpoint="/")]
+    found = detect.floods(make(spark, rows), trailing=4, min_requests=1, factor=0.0)
+    means = {r.window_start.minute: r.trailing_mean for r in found.collect()}
     assert means == {0: 0.0, 3: 0.25}
 
 
 def test_cascade_with_declared_edges(spark):
     def hit(service, status, minute=0):
-        return {"zona": "z", "id_recurso": f"{service}-1", "status_response": status, "event_timestamp": T0 + timedelta(minutes=minute)}
-    df = make(spark, [hit("orders-api", 500), hit("orders-api", 200), hit("auth-api", 503), hit("orders-api", 500, 1), hit("X", 500)])
-    edges = spark.createDataFrame([("z/orders-api", "z/auth-api"), ("z/orders-api", "z/auth-api")], "source string, target string")
-    got = {(r.minute.minute, r.service): (r.failure_share, r.callee, r.callee_requests, r.callee_failure_share) for r in detect.cascades(df, edges).collect()}
+        return cycle(1, 1, minute, id_recurso=f"{service}-1", status_response=status)[0]
+
+    df = make(
+        spark,
+        [
+            hit("orders-api", 500), hit("orders-api", 200), hit("auth-api", 503),
+            hit("orders-api", 500, 1), hit("X", 500),
+        ],
+    )
+    edges = spark.createDataFrame([("z/orders-api", "z/auth-api")] * 2, "source string, target string")
+    got = {
+        (r.minute.minute, r.service): (
+            r.failure_share, r.callee, r.callee_requests, r.callee_failure_share,
+        )
+        for r in detect.cascades(df, edges).collect()
+    }
     assert got == {
         (0, "z/orders-api"): (0.5, "z/auth-api", 1, 1.0),
         (0, "z/auth-api"): (1.0, None, 0, None),
@@ -124,20 +192,30 @@ def test_cascade_with_declared_edges(spark):
 
 
 def test_rolling_statistics_use_their_own_status_classes(spark):
-    statuses = [100, 200, 302, 404, 500, None]
-    df = make(spark, [{"status_response": s, "event_timestamp": T0 + timedelta(seconds=29)} for s in statuses])
-    row = detect.rolling_stats(df).first()
+    rows = [
+        {"status_response": status, "event_timestamp": after(seconds=29)}
+        for status in (100, 200, 302, 404, 500, None)
+    ]
+    row = detect.rolling_stats(make(spark, rows)).first()
     assert (row.n_2xx, row.n_4xx, row.n_5xx, row.n_err, row.requests) == (2, 2, 1, 1, 6)
     assert row.window_start == T0 and row.pct_2xx == pytest.approx(100 / 3)
 
 
 def test_chain_hops(spark):
+    def hop(caller, callee, moment, duration=None):
+        zone, service = caller.split("/")
+        return {
+            "id_transaccion": "t", "zona": "z1", "id_recurso": f"{callee}-1",
+            "source_zone": zone, "source_service": service,
+            "event_timestamp": moment, "time_transaction": duration,
+        }
+
     rows = [
-        {"id_transaccion": "t", "zona": "z1", "id_recurso": "auth-api-1", "source_zone": "z1", "source_service": "orders-api", "time_transaction": 10, "event_timestamp": T0 + timedelta(seconds=59)},
-        {"id_transaccion": "t", "zona": "z1", "id_recurso": "orders-api-1", "source_zone": "external", "source_service": "user", "time_transaction": 90, "event_timestamp": T0 + timedelta(seconds=59)},
-        {"id_transaccion": "t", "zona": "z1", "id_recurso": "auth-api-1", "source_zone": "z1", "source_service": "orders-api", "time_transaction": 1, "event_timestamp": T0 + timedelta(seconds=121)},
-        {"id_transaccion": "t", "zona": "z1", "id_recurso": "late-api-1", "source_zone": "z1", "source_service": "auth-api", "event_timestamp": None},
-        {"id_transaccion": "-", "zona": "z1"}, {"id_transaccion": None, "zona": "z1"}, {"id_transaccion": "", "zona": "z1"},
+        hop("z1/orders-api", "auth-api", after(seconds=59), 10),
+        hop("external/user", "orders-api", after(seconds=59), 90),
+        hop("z1/orders-api", "auth-api", after(seconds=121), 1),
+        hop("z1/auth-api", "late-api", None),
+        *[{"id_transaccion": missing, "zona": "z1"} for missing in ("-", None, "")],
     ]
     hops = chains.call_chain(make(spark, rows), "t").collect()
     assert [(r.hop, r.caller, r.callee) for r in hops] == [
@@ -150,9 +228,18 @@ def test_chain_hops(spark):
 
 
 @MANY
-@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "x"]), st.integers(0, 600)), min_size=1, max_size=60))
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["hot", "hot", "x"]), st.integers(0, 600)),
+        min_size=1,
+        max_size=60,
+    )
+)
 def test_chain_numbers_against_brute_force(spark, hits):
-    df = make(spark, [{"id_transaccion": t, "zona": "z", "event_timestamp": T0 + timedelta(seconds=s)} for t, s in hits])
+    df = make(
+        spark,
+        [{"id_transaccion": t, "zona": "z", "event_timestamp": after(seconds=s)} for t, s in hits],
+    )
     got = defaultdict(list)
     for r in chains.call_chains(df, segment_seconds=30).collect():
         got[r.id_transaccion].append((r.hop, r.event_timestamp))

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from hoptrail.operators import graph, lookup
 from hoptrail.operators.pricing import top_open_orders

@@ -79,6 +79,10 @@ def test_a_replayed_batch_replaces_its_slot(spark, tmp_path):
     assert hot.read_recent(spark, root, now_ms=1_003_000).count() == 40
 
 
+def test_no_slots_yet(spark, tmp_path):
+    assert hot.read_recent(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_slots_expire_by_arrival(spark, tmp_path):
     root, minute = str(tmp_path / "hot"), 60_000
     traces = as_traces(spark.read.parquet(EVENTS)).limit(5).cache()
