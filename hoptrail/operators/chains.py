@@ -11,7 +11,7 @@ from hoptrail.plans.filters import EVERYTHING, TraceFilter
 
 
 def call_chains(
-    traces: DataFrame, flt: TraceFilter = EVERYTHING, segment_seconds: int = 60
+    traces: DataFrame, flt: TraceFilter = EVERYTHING, segment_seconds: int = 10
 ) -> DataFrame:
     """Number the hops of every transaction by start time.
 
