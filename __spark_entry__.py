@@ -23,6 +23,14 @@ from hoptrail.session import configure
 from hoptrail.sources.events import as_traces
 from hoptrail.streaming.hot import payload
 
+try:
+    import corpus_pipeline
+    import hoptrail.llm.queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "hoptrail.llm", "hoptrail.llm.queries"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
@@ -165,6 +173,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = _engine_queries()
+    if llm:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def _engine_queries() -> dict[str, Query]:
     return {
         "success_rate": _over_traces(dashboard.success_rate),
         "requests_per_second": _over_traces(dashboard.requests_per_second),
@@ -345,6 +360,15 @@ FAILURES_SQL = """, failing AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _engine_sql()
+    if llm:
+        found |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _engine_sql() -> dict[str, str]:
     over_traces = {
         "success_rate": SUCCESS_SQL,
         "requests_per_second": RPS_SQL,
