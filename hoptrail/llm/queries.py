@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe
+from hoptrail.llm import bpe, secrets
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +25,22 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer(spark))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.filter("secrets", lambda x: x["kind"] != secrets.RANDOM)
+    return secrets.find(docs, keep_text=False).select(
+        "doc_id",
+        *(
+            secrets.count(base, kind).alias(f"n_{kind}")
+            for kind in secrets.KINDS
+        ),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe,)}
+    return {f.__name__: f for f in (op1_byte_bpe, op7_secrets)}
 
 
 ORACLE_SQL: dict[str, str] = {}
