@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, secrets
+from hoptrail.llm import bpe, langid, secret_scan
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,20 +27,31 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    base = F.filter("secrets", lambda x: x["kind"] != secrets.RANDOM)
-    return secrets.find(docs, keep_text=False).select(
+    base = F.filter("secrets", lambda x: x["kind"] != secret_scan.RANDOM)
+    return secret_scan.find(docs, keep_text=False).select(
         "doc_id",
         *(
-            secrets.count(base, kind).alias(f"n_{kind}")
-            for kind in secrets.KINDS
+            secret_scan.count(base, kind).alias(f"n_{kind}")
+            for kind in secret_scan.KINDS
         ),
-        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
-        secrets.joined(F.col("secrets")).alias("spans"),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("secrets")).alias("spans"),
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs.filter(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id",
+        "held_out",
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
     )
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op7_secrets)}
+    return {f.__name__: f for f in (op1_byte_bpe, op7_secrets, op8_language)}
 
 
 ORACLE_SQL: dict[str, str] = {}
