@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, decontaminate, langid, secret_scan
+from hoptrail.llm import bpe, decontaminate, langid, near_dedup, secret_scan
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer(spark))
 
 
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.NearCopies(table(spark, sf_dir, "documents"), width=2)
+    return found.groups().withColumnRenamed("doc", "doc_id")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.report(docs, benchmark).drop("matches")
@@ -56,7 +61,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_decontamination, op7_secrets, op8_language)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op4_decontamination, op7_secrets, op8_language)}
 
 
 ORACLE_SQL: dict[str, str] = {}
