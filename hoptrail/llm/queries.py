@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, decontaminate, langid, near_dedup, secret_scan
+from hoptrail.llm import bpe, decontaminate, langid, near_dedup, neighbours, secret_scan
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groups().withColumnRenamed("doc", "doc_id")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.report(docs, benchmark).drop("matches")
@@ -61,7 +66,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op4_decontamination, op7_secrets, op8_language)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op7_secrets, op8_language)}
 
 
 ORACLE_SQL: dict[str, str] = {}
