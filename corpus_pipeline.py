@@ -9,26 +9,72 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe
-from hoptrail.llm.common import materialize, table
+from hoptrail.llm import bpe, decontaminate, langid, near_dedup, secret_scan
+from hoptrail.llm.common import materialize, prepare, table
 from hoptrail.llm.queries import tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Below this share of the best language in a text's mean word, the language is not known.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; a missing `lang` is filled in."""
+    prepare(spark)
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id")) | F.col("doc_id").isNull()))
+    found = F.col("language")
+    return (
+        langid.predict(docs, model)
+        .filter((found["lang"] != langid.UNKNOWN) & (found["score"] >= LEAST_SCORE))
+        .withColumn("lang", F.coalesce("lang", found["lang"]))
+        .drop("language")
+    )
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five words a shingle, similarity 0.8 or more."""
+    prepare(spark)
+    return near_dedup.keep_one(docs, width=5)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no ten consecutive words of a benchmark item occur."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and `n_chars` counted anew."""
+    prepare(spark)
+    masked = secret_scan.redact(secret_scan.find(docs)).drop("secrets")
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every kept text and the digest of what they decode to."""
-    coded = bpe.decode(bpe.encode(docs, tokenizer(spark)), tokenizer(spark))
-    return coded.selectExpr(
-        "doc_id", "lang", "source", "ids", "CAST(size(ids) AS BIGINT) AS n_tokens",
-        "sha2(bytes, 256) AS decoded_sha256",
+    """Ids of every kept text, and the digest of what they decode to."""
+    prepare(spark)
+    coder = tokenizer(spark)
+    return bpe.decode(bpe.encode(docs, coder), coder).select(
+        "doc_id",
+        "lang",
+        "source",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
     )
 
 
-STAGES: list[tuple[str, Stage]] = [("tokens", tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("tokens", tokens),
+]
 
-#: The stages learn models and compare sketches, which SQL doesn't express.
+#: A fitted model and sketches decide which documents stay, which SQL doesn't express.
 ORACLE_SQL = None
 
 

@@ -314,3 +314,10 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         matched.alias("matches"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
+    """The rows of `docs` in which no benchmark passage occurs."""
+    found = materialize(Index(docs, benchmark, key, text, **names).phrases().select("doc", "mark"))
+    same = F.col(f"`{key}`").eqNullSafe(found["doc"]) & (F.xxhash64(F.col(f"`{text}`")) == found["mark"])
+    return docs.join(found, same, "left_anti")

@@ -270,3 +270,17 @@ class NearCopies:
         return found.select(
             "doc", F.col("n").alias("n_shingles"), name.alias("component_id"), F.col("doc").eqNullSafe(name).alias("kept")
         )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` without near copies: of each group the row of the least key.
+
+    Groups of rows without a key keep one row of each of their texts, and rows of one key and
+    text count as one. Documents without words stay.
+    """
+    found = NearCopies(docs, key, text, **options)
+    kept = materialize(found.groups().filter("kept").select("doc").distinct())
+    out = docs.join(kept, F.col(f"`{key}`").eqNullSafe(kept["doc"]), "left_semi")
+    # Only repeated keys need the rows' texts to be compared.
+    repeated = not found.rows.groupBy("doc").count().filter("count > 1").isEmpty()
+    return out.dropDuplicates([key, text]) if repeated else out
