@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, decontaminate, langid, near_dedup, neighbours, secret_scan, url_filter
+from hoptrail.llm import bpe, decontaminate, langid, near_dedup, neighbours, secret_scan, sentence_spans, url_filter
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_spans.remove_repeats(docs)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = F.filter("secrets", lambda x: x["kind"] != secret_scan.RANDOM)
@@ -78,7 +83,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op7_secrets, op8_language)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language)}
 
 
 ORACLE_SQL: dict[str, str] = {}
