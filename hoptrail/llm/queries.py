@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, decontaminate, langid, near_dedup, neighbours, secret_scan, sentence_spans, url_filter
+from hoptrail.llm import bpe, decontaminate, langid, near_dedup, neighbours, secret_scan, sentence_spans, toxicity, url_filter
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,8 +82,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    model = toxicity.fit(toxicity.graded(docs.join(labels, "doc_id")))
+    found = toxicity.score(docs, model).drop("text")
+    return found.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language, op9_toxicity)}
 
 
 ORACLE_SQL: dict[str, str] = {}
