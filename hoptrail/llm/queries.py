@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, decontaminate, langid, near_dedup, neighbours, secret_scan, sentence_spans, toxicity, url_filter
+from hoptrail.llm import bpe, decontaminate, html_text, langid, near_dedup, neighbours, secret_scan, sentence_spans, toxicity, url_filter
 from hoptrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,8 +90,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("toxic", F.col("p_toxic") >= 0.5)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.fit(pages)).drop("html")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language, op9_toxicity)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language, op9_toxicity, op10_html_text)}
 
 
 ORACLE_SQL: dict[str, str] = {}
