@@ -1,11 +1,13 @@
 """Benchmark passages in documents, by a positional inverted index of the documents.
 
-The index stores, for each indexed term and document, the places of the term. It holds the terms
-that some test window needs: of each window its `RAREST` rarest words. A window's matches start
-where the lists of its rare words, each moved back by the word's offset, meet; all windows of an
-item share one alignment (document place less item place), so lists are met per alignment. What
-meets is compared word by word with the document: runs of equal words as long as a window are
-exact phrase matches. `near` finds the rarest words of an item close together in any order.
+The index stores, for each indexed term and document, the places of the term, each with the
+words around it as far as a window reaches. It holds the terms that some test window needs: of
+each window its `RAREST` rarest words. A window's matches start where the lists of its rare
+words, each moved back by the word's offset, meet; all windows of an item share one alignment
+(document place less item place), so lists are met per alignment. An entry goes into a meeting
+only if the words around it agree with the item's over at least a window, which makes what meets
+exact phrase matches: the runs of all entries of an alignment cover every window in it. `near`
+finds the rarest words of an item close together in any order.
 
 Words are taken from texts as `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.
 """
@@ -14,11 +16,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
@@ -56,14 +59,14 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
 
 def _slices(terms: DataFrame) -> Iterator[list[bytes]]:
     """The terms in lists of bounded length, which together hold all of them."""
-    parts = -(-terms.count() // TERMS_AT_ONCE)
+    parts = max(1, -(-terms.count() // TERMS_AT_ONCE))
     for part in range(parts):
         mine = terms.filter(F.pmod(F.xxhash64("term"), F.lit(parts)) == part) if parts > 1 else terms
         yield [w.encode() for w in mine.toArrow().column("term").to_pylist()]
 
 
-def _over_slices(docs: DataFrame, terms: DataFrame, scan, schema: str) -> DataFrame | None:
-    """Union of one scan of the documents for each slice of the terms."""
+def _over_slices(docs: DataFrame, terms: DataFrame, scan, schema: str) -> DataFrame:
+    """Union of one scan of the documents for each slice of the terms, one scan at least."""
     out = None
     for k, part in enumerate(_slices(terms)):
         shared = docs.sparkSession.sparkContext.broadcast(frozenset(part))
@@ -87,39 +90,49 @@ def _count(batches: Iterator[pa.RecordBatch], terms: frozenset, first: bool) ->
     )
 
 
-def _post(batches: Iterator[pa.RecordBatch], terms: frozenset, first: bool) -> Iterator[pa.RecordBatch]:
-    """A row per indexed term of a document, and from the first scan one without a term for its length."""
+def _around(found: list, at: int, window: int) -> tuple[list, int]:
+    """The words that a window through a place can hold, and the place's own among them."""
+    first = max(0, at - window + 1)
+    return found[first : at + window], at - first
+
+
+def _post(
+    batches: Iterator[pa.RecordBatch], terms: frozenset, first: bool, window: int
+) -> Iterator[pa.RecordBatch]:
+    """A row per place of an indexed term, and from the first scan one without a term for the length."""
     for batch in batches:
-        rows, term, places, length = [], [], [], []
+        rows, term, place, lead, around = [], [], [], [], []
         for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
             found = word_bytes(text)
-            by_term: dict[bytes, list[int]] = {}
-            for at in compress(count(), map(terms.__contains__, found)):
-                by_term.setdefault(found[at], []).append(at)
             if first:
                 rows.append(i)
                 term.append(None)
-                places.append([])
-                length.append(len(found))
-            rows += [i] * len(by_term)
-            term += [w.decode() for w in by_term]
-            places += by_term.values()
-            length += [len(found)] * len(by_term)
+                place.append(len(found))
+                lead.append(None)
+                around.append(None)
+            for at in compress(count(), map(terms.__contains__, found)):
+                words_, mine = _around(found, at, window)
+                rows.append(i)
+                term.append(found[at])
+                place.append(at)
+                lead.append(mine)
+                around.append(b" ".join(words_))
         key = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc").take(key),
                 batch.column("mark").take(key),
-                pa.array(term, pa.string()),
-                pa.array(places, pa.list_(pa.int32())),
-                pa.array(length, pa.int64()),
+                pa.array(term, pa.binary()).cast(pa.string()),
+                pa.array(place, pa.int32()),
+                pa.array(lead, pa.int32()),
+                pa.array(around, pa.binary()).cast(pa.string()),
             ],
-            ["doc", "mark", "term", "places", "n_words"],
+            ["doc", "mark", "term", "place", "lead", "around"],
         )
 
 
 def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) -> DataFrame:
-    """(uid, place, term, near): the places of an item's words whose lists are met.
+    """(uid, item_place, term, near, item_lead, item_around, width): words whose lists are met.
 
     `near` is set for one place of each of the item's `near` rarest different words. Windows
     with a word that no document has are skipped: they can't occur.
@@ -131,7 +144,7 @@ def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) ->
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uid, place, term, rare = [], [], [], []
+            uid, place, term, rare, lead, around, widths = [], [], [], [], [], [], []
             for u, at in zip(batch.column("uid").to_pylist(), batch.column("at").to_pylist(), strict=True):
                 n = np.array([x["n"] for x in at], np.int64)
                 width = min(window, len(at))
@@ -149,21 +162,68 @@ def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) ->
                     place.append(i)
                     term.append(at[i]["term"])
                     rare.append(i in close.values())
+                    words_, mine = _around([x["term"] for x in at], i, window)
+                    lead.append(mine)
+                    around.append(" ".join(words_))
+                    widths.append(width)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uid, pa.int64()), pa.array(place, pa.int32()), pa.array(term, pa.string()), pa.array(rare, pa.bool_())],
-                ["uid", "place", "term", "near"],
+                [
+                    pa.array(uid, pa.int64()),
+                    pa.array(place, pa.int32()),
+                    pa.array(term, pa.string()),
+                    pa.array(rare, pa.bool_()),
+                    pa.array(lead, pa.int32()),
+                    pa.array(around, pa.string()),
+                    pa.array(widths, pa.int32()),
+                ],
+                ["uid", "item_place", "term", "near", "item_lead", "item_around", "width"],
             )
 
-    return rated.mapInArrow(choose, "uid long, place int, term string, near boolean")
+    return rated.mapInArrow(
+        choose,
+        "uid long, item_place int, term string, near boolean, item_lead int, item_around string, width int",
+    )
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of entries and item places of one term, those in a run of equal words as long as a window.
+
+    `left` and `right` are how many equal words the run has on either side, within a window.
+    """
+    for batch in batches:
+        keep, left, right = [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("around", "lead", "item_around", "item_lead", "width"))
+        for i, (around, lead, item, item_lead, width) in enumerate(zip(*columns, strict=True)):
+            mine, theirs = around.split(" "), item.split(" ")
+            a = b = 0
+            while a < min(lead, item_lead) and mine[lead - 1 - a] == theirs[item_lead - 1 - a]:
+                a += 1
+            room = min(len(mine) - lead, len(theirs) - item_lead) - 1
+            while b < room and mine[lead + 1 + b] == theirs[item_lead + 1 + b]:
+                b += 1
+            if a + 1 + b >= width:
+                keep.append(i)
+                left.append(a)
+                right.append(b)
+        key = pa.array(keep, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c).take(key) for c in ("doc", "mark", "uid", "item_place", "place", "width")),
+                pa.array(left, pa.int32()),
+                pa.array(right, pa.int32()),
+            ],
+            ["doc", "mark", "uid", "item_place", "place", "width", "left", "right"],
+        )
 
 
 class Index:
     """The inverted index of documents for a benchmark.
 
-    `postings` has (doc, mark, term, places, n_words): a document's key, a hash of its text (so
-    that different texts of one key stay apart), and for a null term just its number of words.
-    Building reads the documents twice, once to count the test terms and once to post the rare
-    ones; both tables are written to the shared folder.
+    `postings` has (doc, mark, term, place, lead, around): a document's key, a hash of its text
+    (so that different texts of one key stay apart), a term's place, and the words around it, of
+    which the one at `lead` is the term; a row with a null term has the number of words as its
+    place. Building reads the documents twice, once to count the test terms and once to post the
+    rare ones; both tables are written to the shared folder. Nothing else reads the texts again.
     """
 
     def __init__(
@@ -177,100 +237,66 @@ class Index:
         window: int = 10,
         near: int = 3,
     ):
-        self.window = window
-        self.docs = docs.select(
+        docs = docs.select(
             F.col(f"`{key}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("mark"), F.col(f"`{text}`").alias("text")
         )
-        kind = self.docs.schema["doc"].dataType.simpleString()
+        self.kind = docs.schema["doc"].dataType.simpleString()
         self.items = materialize(_items(benchmark, item_id, item_text))
         terms = materialize(self.items.select(F.explode("words").alias("term")).distinct())
-        counted = _over_slices(self.docs, terms, _count, "term string, n long")
-        none = docs.sparkSession.createDataFrame([], "term string, n long")
-        frequency = materialize((none if counted is None else counted).groupBy("term").agg(F.sum("n").alias("n")))
+        frequency = materialize(
+            _over_slices(docs, terms, _count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+        )
         self.anchors = materialize(_anchors(self.items, frequency, window, near))
-        schema = f"doc {kind}, mark long, term string, places array<int>, n_words long"
-        posted = _over_slices(self.docs, self.anchors.select("term").distinct(), _post, schema)
-        if posted is None:
-            shared = docs.sparkSession.sparkContext.broadcast(frozenset())
-            posted = self.docs.mapInArrow(lambda batches: _post(batches, shared.value, True), schema)
-        self.postings = materialize(posted)
+        self.postings = materialize(
+            _over_slices(
+                docs,
+                self.anchors.select("term").distinct(),
+                partial(_post, window=window),
+                f"doc {self.kind}, mark long, term string, place int, lead int, around string",
+            )
+        )
 
     def lengths(self) -> DataFrame:
-        return self.postings.filter(F.col("term").isNull()).select("doc", "mark", "n_words")
-
-    def _met(self) -> DataFrame:
-        """(doc, mark, uid, shift): alignments at which at least `RAREST` lists of an item meet."""
-        lists = self.postings.filter(F.col("term").isNotNull()).join(self.anchors, "term")
-        aligned = lists.select("doc", "mark", "uid", "place", F.explode("places").alias("at"))
-        met = aligned.groupBy("doc", "mark", "uid", (F.col("at") - F.col("place")).alias("shift")).agg(
-            F.size(F.collect_set("place")).alias("lists")
-        )
-        least = self.items.select("uid", F.least(F.size("words"), F.lit(RAREST)).alias("least"))
-        return met.join(least, "uid").filter(F.col("lists") >= F.col("least")).drop("lists", "least")
+        return self.postings.filter(F.col("term").isNull()).select("doc", "mark", F.col("place").cast("long").alias("n_words"))
 
     def phrases(self) -> DataFrame:
-        """(doc, mark, n_hit, matches) of documents with an exact match.
+        """(doc, mark, item_id, start, end): runs of document words, end exclusive, that an item has.
 
-        `matches` are (item_id, start, end, at): the run of document words, end exclusive, and
-        the item word that it starts with. Each run holds every window inside it. Only documents
-        in which lists met are read again; without a key they can't be joined and get a null key.
+        Each run is at least a window long, and every matching window lies in the union of the
+        runs of its item.
         """
-        asked = materialize(
-            self._met()
-            .join(self.items, "uid")
-            .groupBy("doc", "mark")
-            .agg(F.collect_list(F.struct("item_id", "words", "shift")).alias("asked"))
+        entries = self.postings.filter(F.col("term").isNotNull()).join(self.anchors, "term")
+        agreeing = entries.select(
+            "doc", "mark", "uid", "item_place", "place", "width", "around", "lead", "item_around", "item_lead"
+        ).mapInArrow(
+            _agreeing,
+            f"doc {self.kind}, mark long, uid long, item_place int, place int, width int, left int, right int",
         )
-        window = self.window
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep, hits, out = [], [], []
-                texts = batch.column("text").cast(pa.binary()).to_pylist()
-                for i, (text, asked) in enumerate(zip(texts, batch.column("asked").to_pylist(), strict=True)):
-                    found = word_bytes(text)
-                    hit, matches = np.zeros(len(found), bool), []
-                    for x in asked:
-                        item, shift = [w.encode() for w in x["words"]], x["shift"]
-                        first = max(0, -shift)
-                        last = min(len(item), len(found) - shift)
-                        equal = [False, *(item[j] == found[shift + j] for j in range(first, last)), False]
-                        edges = np.flatnonzero(np.diff(np.array(equal, np.int8)))
-                        for a, b in edges.reshape(-1, 2).tolist():
-                            if b - a >= min(window, len(item)):
-                                start = shift + first + a
-                                hit[start : start + b - a] = True
-                                matches.append(
-                                    {"item_id": x["item_id"], "start": start, "end": start + b - a, "at": first + a}
-                                )
-                    if matches:
-                        keep.append(i)
-                        hits.append(int(hit.sum()))
-                        out.append(matches)
-                key = pa.array(keep, pa.int64())
-                match = pa.struct([("item_id", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("at", pa.int32())])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc").take(key), batch.column("mark").take(key), pa.array(hits, pa.int64()), pa.array(out, pa.list_(match))],
-                    ["doc", "mark", "n_hit", "matches"],
-                )
-
-        kind = self.docs.schema["doc"].dataType.simpleString()
-        same = self.docs["doc"].eqNullSafe(asked["doc"]) & (self.docs["mark"] == asked["mark"])
-        found = self.docs.join(asked, same).select(self.docs["doc"], self.docs["mark"], "text", "asked").mapInArrow(
-            compare,
-            f"doc {kind}, mark long, n_hit long, matches array<struct<item_id:string,start:int,end:int,at:int>>",
+        run = F.struct((F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right") + 1).alias("end"))
+        met = (
+            agreeing.groupBy("doc", "mark", "uid", (F.col("place") - F.col("item_place")).alias("shift"))
+            .agg(
+                F.size(F.collect_set("item_place")).alias("lists"),
+                F.max("width").alias("width"),
+                F.collect_set(run).alias("runs"),
+            )
+            .filter(F.col("lists") >= F.least("width", F.lit(RAREST)))
         )
-        return found.dropDuplicates(["doc", "mark"])
+        return met.join(self.items.select("uid", "item_id"), "uid").select(
+            "doc", "mark", "item_id", F.explode("runs").alias("run")
+        ).select("doc", "mark", "item_id", "run.start", "run.end")
 
     def near(self, slop: int = 20) -> DataFrame:
         """(doc, mark, item_id, span): documents that have all of an item's rarest different words
         within `slop` words, in any order; `span` is the least number of words that holds them."""
         rare = self.anchors.filter("near").select("uid", "term")
         needed = rare.groupBy("uid").agg(F.count(F.lit(1)).alias("needed"))
-        lists = self.postings.filter(F.col("term").isNotNull()).join(rare, "term").dropDuplicates(["doc", "mark", "uid", "term"])
+        entries = self.postings.filter(F.col("term").isNotNull()).join(rare, "term")
         grouped = (
-            lists.groupBy("doc", "mark", "uid")
-            .agg(F.collect_list(F.struct("term", "places")).alias("lists"))
+            entries.groupBy("doc", "mark", "uid", "term")
+            .agg(F.collect_set("place").alias("places"))
+            .groupBy("doc", "mark", "uid")
+            .agg(F.collect_list("places").alias("lists"))
             .join(needed, "uid")
             .filter(F.size("lists") == F.col("needed"))
         )
@@ -279,9 +305,8 @@ class Index:
         def least_span(lists: pa.Array) -> pa.Array:
             out = []
             for row in lists.to_pylist():
-                at = sorted((p, k) for k, x in enumerate(row) for p in x["places"])
                 last, best = {}, None
-                for place, k in at:
+                for place, k in sorted((p, k) for k, places in enumerate(row) for p in places):
                     last[k] = place
                     if len(last) == len(row):
                         span = place - min(last.values()) + 1
@@ -293,6 +318,17 @@ class Index:
         return spans.join(self.items.select("uid", "item_id"), "uid").drop("uid")
 
 
+def covered(runs: Column) -> Column:
+    """How many places an array of (start, end) covers."""
+
+    def add(state: Column, run: Column) -> Column:
+        fresh = F.greatest(run["end"] - F.greatest(run["start"], state["at"]), F.lit(0))
+        return F.struct(F.greatest(state["at"], run["end"]).alias("at"), (state["n"] + fresh).alias("n"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
+    return F.aggregate(F.array_sort(runs), begin, add, lambda state: state["n"]).cast("long")
+
+
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """Per document: key, n_words, n_hit, n_items, items_sha256, contaminated, matches.
 
@@ -301,23 +337,32 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     result; items given twice count once. An empty benchmark leaves every document clean.
     """
     index = Index(docs, benchmark, key, text, **names)
-    lengths, found = index.lengths(), index.phrases()
+    lengths = index.lengths()
+    found = materialize(
+        index.phrases()
+        .groupBy("doc", "mark")
+        .agg(
+            covered(F.collect_set(F.struct("start", "end"))).alias("n_hit"),
+            F.array_sort(F.collect_set("item_id")).alias("items"),
+            F.collect_set(F.struct("item_id", "start", "end")).alias("matches"),
+        )
+    )
     same = lengths["doc"].eqNullSafe(found["doc"]) & (lengths["mark"] == found["mark"])
-    matched = F.coalesce("matches", F.array().cast("array<struct<item_id:string,start:int,end:int,at:int>>"))
-    items = F.array_sort(F.array_compact(F.array_distinct(F.transform(matched, lambda x: x["item_id"]))))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    hits = F.coalesce("n_hit", F.lit(0)).cast("long")
     return lengths.join(found, same, "left").select(
         lengths["doc"].alias(key),
         "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        hits.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         digest(items).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-        matched.alias("matches"),
+        (hits > 0).alias("contaminated"),
+        F.coalesce("matches", F.array().cast("array<struct<item_id:string,start:int,end:int>>")).alias("matches"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The rows of `docs` in which no benchmark passage occurs."""
-    found = materialize(Index(docs, benchmark, key, text, **names).phrases().select("doc", "mark"))
+    found = materialize(Index(docs, benchmark, key, text, **names).phrases().select("doc", "mark").distinct())
     same = F.col(f"`{key}`").eqNullSafe(found["doc"]) & (F.xxhash64(F.col(f"`{text}`")) == found["mark"])
     return docs.join(found, same, "left_anti")
