@@ -398,7 +398,9 @@ def compose(paragraphs: list[str], rng: random.Random) -> str:
             ),
             "form": lambda: rng.choice((f"<label>{some(1, 4)}</label><input name='q'><button>{some(1, 2)}</button>", f"<a href='#'>{some(1, 2)}</a> <a href='#'>{some(1, 2)}</a>", f"<p>{some(2, 8)}</p><input>")),
         }[kind]()
-        return rng.choice(_PARTS[kind]).replace("%", inner)
+        # A paragraph holds no other block.
+        outer = [x for x in _PARTS[kind] if not (x.startswith("<p") and re.search("<(p|ul|h[1-6]|div|li)", inner))]
+        return rng.choice(outer).replace("%", inner)
 
     def block() -> str:
         text = MARK + rng.choice((real, lambda: some(1, 12), lambda: some(20, 80)))()
