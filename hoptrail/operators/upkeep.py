@@ -1,38 +1,45 @@
-"""Compaction of landed traces into history.
+"""Compaction of landed traces into history, and freeing of what it made superfluous.
 
-Streaming writes many small files to *landing*; compaction rewrites whole hours
-into *history*. Landing is never changed, as its sink keeps a log of its files,
-and history is a pure function of landing: an interrupted run is run again.
+Streaming writes many small files to *landing*; compaction puts them, hour by hour, into a new
+version in *history* together with what the hour's version before held. `hoptrail.sources.lake`
+tells how both are read.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from hoptrail.functions.traces import hour_key
-from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL, TRACE_DDL
-from hoptrail.session import setting
-from hoptrail.sources.files import exists
-from hoptrail.sources.tables import fill_callers, in_partitions, leaf_files, read_traces
-
-# What each history partition was made of; the underscore hides it from reads.
-PROMOTIONS = "_promotions"
-PROMOTION_DDL = f"{PARTITION_DDL}, files bigint, bytes bigint, promoted_at timestamp"
-
-
-def _hour(moment: datetime) -> int:
-    return int(moment.astimezone(timezone.utc).strftime("%Y%m%d%H"))
+from pyspark.sql import DataFrame, SparkSession
+
+from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL
+from hoptrail.session import configure
+from hoptrail.sources.files import delete, exists, list_names
+from hoptrail.sources.lake import (
+    PROMOTION_DDL,
+    PROMOTIONS,
+    Key,
+    Landed,
+    Record,
+    counted,
+    folder_of,
+    landed_files,
+    landing_roots,
+    read_files,
+    read_record,
+    read_versions,
+)
+from hoptrail.sources.tables import fill_callers
 
 
 @dataclass(frozen=True)
 class Selection:
     """Hours to compact: all, those of one UTC day, or the last few full hours.
 
-    The current hour is still being written and never selected.
+    The current hour is still being written and never selected. Beside the chosen hours, files
+    that landed late in hours already promoted are taken along wherever a root's log tells of
+    them. Messages without a time belong to no hour: they are taken when all hours are.
     """
 
     day: date | None = None
@@ -49,33 +56,41 @@ class Selection:
         now = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
         return cls(day=now.date() - timedelta(days=1))
 
-    def condition(self, now: datetime) -> Column:
-        chosen = hour_key() < _hour(now)
+    def hours(self, now: datetime) -> list[datetime] | None:
+        """The chosen hours up to the current one, or None for all."""
+        this = now.astimezone(timezone.utc).replace(minute=0, second=0, microsecond=0)
         if self.recent_hours is not None:
-            chosen &= hour_key() >= _hour(now - timedelta(hours=self.recent_hours))
+            return [this - timedelta(hours=n) for n in range(1, self.recent_hours + 1)]
         if self.day is not None:
-            chosen &= (
-                (F.col("year") == self.day.year)
-                & (F.col("month") == self.day.month)
-                & (F.col("day") == self.day.day)
-            )
-        return chosen
-
-
-def _promotions(spark: SparkSession, history: str) -> DataFrame:
-    """What was last promoted, per partition."""
-    path = f"{history}/{PROMOTIONS}"
-    if exists(spark, path):
-        promotions = spark.read.schema(PROMOTION_DDL).parquet(path)
-    else:
-        promotions = spark.createDataFrame([], PROMOTION_DDL)
-    return (
-        promotions.groupBy(*PARTITION_COLUMNS)
-        .agg(
-            F.max_by("files", "promoted_at").alias("promoted_files"),
-            F.max_by("bytes", "promoted_at").alias("promoted_bytes"),
-        )
-    )
+            first = datetime(self.day.year, self.day.month, self.day.day, tzinfo=timezone.utc)
+            return [h for n in range(24) if (h := first + timedelta(hours=n)) < this]
+        return None
+
+
+PLAN_DDL = f"{PARTITION_DDL}, files bigint, new_files bigint, action string"
+
+
+def _due(
+    spark: SparkSession, landing: str, history: str, selection: Selection, now: datetime
+) -> tuple[dict[Key, list[Landed]], dict[Key, list[Landed]], Record]:
+    """Per chosen partition its landing files and the new ones among them; the record so far."""
+    record = read_record(spark, history)
+    hours = selection.hours(now)
+    wanted = None if hours is None else {(h.year, h.month, h.day, h.hour) for h in hours}
+    this = now.astimezone(timezone.utc)
+    current = (this.year, this.month, this.day, this.hour)
+    files: dict[Key, list[Landed]] = {}
+    new: dict[Key, list[Landed]] = {}
+    for f in landed_files(spark, landing, hours):
+        key, fresh = f.key, f.file not in record.files
+        chosen = wanted is None or key[1:] in wanted
+        late = key in record.runs and fresh
+        if key[1] is not None and key[1:] >= current or not (chosen or late):
+            continue
+        files.setdefault(key, []).append(f)
+        if fresh:
+            new.setdefault(key, []).append(f)
+    return files, new, record
 
 
 def plan_compaction(
@@ -85,26 +100,13 @@ def plan_compaction(
     selection: Selection = Selection(),
     now: datetime | None = None,
 ) -> DataFrame:
-    """Selected partitions with what is to be done with each.
-
-    `compact`: several files, or late files since the last promotion;
-    `single_file`: nothing to gain, stays in landing; `up_to_date`: promoted.
-    """
-    now = now or datetime.now(timezone.utc)
-    unchanged = (F.col("files") == F.col("promoted_files")) & (
-        F.col("bytes") == F.col("promoted_bytes")
-    )
-    action = (
-        F.when(unchanged, "up_to_date")
-        .when(F.col("promoted_files").isNull() & (F.col("files") <= 1), "single_file")
-        .otherwise("compact")
-    )
-    return (
-        leaf_files(spark, landing)
-        .where(selection.condition(now))
-        .join(_promotions(spark, history), PARTITION_COLUMNS, "left")
-        .select(*PARTITION_COLUMNS, "files", "bytes", action.alias("action"))
-    )
+    """Selected partitions: `compact` if there are files in no version yet, else `up_to_date`."""
+    files, new, _ = _due(spark, landing, history, selection, now or datetime.now(timezone.utc))
+    rows = [
+        (*key, len(found), len(new.get(key, [])), "compact" if key in new else "up_to_date")
+        for key, found in files.items()
+    ]
+    return spark.createDataFrame(rows, PLAN_DDL)
 
 
 # A Bloom filter per row group lets a lookup by transaction id skip almost all
@@ -115,32 +117,25 @@ LOOKUP_INDEX = {
 }
 
 
-def write_history(
-    traces: DataFrame,
-    history: str,
-    task_bytes: int = 512 * 1024 * 1024,
-    max_records_per_file: int = 0,
-) -> None:
-    """Replace whole partitions of history by the given traces.
+def write_history(traces: DataFrame, folder: str, max_records_per_file: int = 0) -> None:
+    """Write whole partitions to a new folder.
 
-    Rows are gathered by partition, and Spark divides a partition larger than
-    `task_bytes` (of shuffled rows) among several tasks, so a busy hour is no
-    single task. Sorting by time lets readers skip row groups.
+    Rows are gathered by partition, and Spark divides a partition larger than the session's
+    advisory size among several tasks, so a busy hour is no single task. Sorting by time
+    lets readers skip row groups.
     """
     gathered = traces.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(
         *PARTITION_COLUMNS, "event_timestamp"
     )
-    with setting(
-        traces.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes)
-    ):
-        (
-            gathered.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", max_records_per_file)
-            .options(**LOOKUP_INDEX)
-            .partitionBy(*PARTITION_COLUMNS)
-            .parquet(history)
-        )
+    (
+        gathered.write.option("maxRecordsPerFile", max_records_per_file)
+        .options(**LOOKUP_INDEX)
+        .partitionBy(*PARTITION_COLUMNS)
+        .parquet(folder)
+    )
+
+
+REPORT_DDL = f"{PARTITION_DDL}, action string, files_before bigint, files_after bigint, rows bigint"
 
 
 def compact(
@@ -149,56 +144,66 @@ def compact(
     history: str,
     selection: Selection = Selection(),
     now: datetime | None = None,
-    **write_options: int,
+    task_bytes: int = 512 * 1024 * 1024,
+    max_records_per_file: int = 0,
 ) -> DataFrame:
-    """Rewrite the selected hours from landing into history; returns a report.
+    """Put the selected hours' new files into new versions of the hours; returns a report.
 
-    One job for all partitions. Missing caller columns are derived on the way.
-    What was read is recorded afterwards: a run that stops before that is
-    repeated, and a file landing meanwhile makes the partition due again.
+    One job for all partitions. A version holds all of the version before it, so history never
+    shrinks, whether or not landing still has the earlier files. Missing caller columns are
+    derived on the way. The record is written last: a run that stops before has no effect.
     """
     if not exists(spark, landing):
         raise ValueError(f"no such root: {landing}")
     now = now or datetime.now(timezone.utc)
-    planned = plan_compaction(spark, landing, history, selection, now)
-    due = planned.where("action = 'compact'")
-    if due.isEmpty():
-        return _report(spark, planned, history)
-
-    rows = in_partitions(read_traces(spark, landing), due.select(*PARTITION_COLUMNS))
-    write_history(fill_callers(rows), history, **write_options)
-    (
-        due.select(*PARTITION_COLUMNS, "files", "bytes", F.lit(now).alias("promoted_at"))
-        .write.mode("append")
-        .parquet(f"{history}/{PROMOTIONS}")
-    )
-    return _report(spark, planned, history)
-
-
-def _report(spark: SparkSession, planned: DataFrame, history: str) -> DataFrame:
-    due = planned.where("action = 'compact'").select(*PARTITION_COLUMNS)
-    if exists(spark, history):
-        stored = in_partitions(read_traces(spark, history), due)
-    else:
-        stored = spark.createDataFrame([], TRACE_DDL)
-    counts = stored.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
-    after = leaf_files(spark, history).select(
-        *PARTITION_COLUMNS,
-        F.col("files").alias("files_after"),
-        F.col("bytes").alias("bytes_after"),
-    )
-    compacted = F.col("action") == "compact"
-    return (
-        planned.join(after, PARTITION_COLUMNS, "left")
-        .join(counts, PARTITION_COLUMNS, "left")
-        .select(
-            *PARTITION_COLUMNS,
-            "action",
-            F.col("files").alias("files_before"),
-            "files_after",
-            F.when(compacted, F.col("files") - F.col("files_after")).alias("files_removed"),
-            F.col("bytes").alias("bytes_before"),
-            "bytes_after",
-            "rows",
+    files, new, record = _due(spark, landing, history, selection, now)
+    after: dict[Key, tuple[int, int]] = {}
+    if new:
+        # A session of its own, so that no other query is planned with this task size.
+        own = configure(spark.newSession())
+        own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes))
+        run = f"{record.last + 1:09d}-{uuid.uuid4().hex[:12]}"
+        held = {key: record.runs[key] for key in new if key in record.runs}
+        fresh = fill_callers(read_files(own, [f for found in new.values() for f in found]))
+        rows = read_versions(own, history, held).unionByName(fresh)
+        write_history(rows, f"{history}/run={run}", max_records_per_file)
+        # One file: it is there as a whole or not at all.
+        promoted = [(*key, run, f.file, None, now) for key, found in new.items() for f in found]
+        spark.createDataFrame(promoted, PROMOTION_DDL).coalesce(1).write.mode("append").parquet(
+            f"{history}/{PROMOTIONS}"
         )
-    )
+        stored = counted(read_versions(spark, history, dict.fromkeys(new, run)))
+        for key in new:
+            names = list_names(spark, f"{history}/run={run}/{folder_of(key)}")
+            after[key] = sum(n.endswith(".parquet") for n in names), stored.get(key, 0)
+    report = [
+        (*key, "compact" if key in new else "up_to_date", len(found), *after.get(key, (None, None)))
+        for key, found in files.items()
+    ]
+    return spark.createDataFrame(report, REPORT_DDL)
+
+
+def free(
+    spark: SparkSession, landing: str, history: str, keep: timedelta, now: datetime | None = None
+) -> tuple[int, int]:
+    """Delete what is no longer read: recorded landing files and replaced versions.
+
+    Both only `keep` after they were recorded or replaced, so that a view built before still
+    finds them. Returns how many landing files and how many versions of partitions are gone.
+    """
+    before = (now or datetime.now(timezone.utc)) - keep
+    record = read_record(spark, history)
+    # Collected timestamps are in the machine's zone without saying so.
+    old = lambda moment: moment.astimezone(timezone.utc) <= before
+    files = versions = 0
+    for root in landing_roots(spark, landing):
+        for f in landed_files(spark, root):
+            if f.file in record.files and old(record.files[f.file]) and exists(spark, f"{root}/{f.file}"):
+                delete(spark, f"{root}/{f.file}")
+                files += 1
+    for (run, key), moment in record.replaced.items():
+        folder = f"{history}/run={run}/{folder_of(key)}"
+        if old(moment) and exists(spark, folder):
+            delete(spark, folder)
+            versions += 1
+    return files, versions

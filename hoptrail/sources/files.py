@@ -25,3 +25,20 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     files, target = _folder(spark, path)
     files.delete(target, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one go."""
+    files, target = _folder(spark, path)
+    out = files.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, target = _folder(spark, path)
+    source = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()

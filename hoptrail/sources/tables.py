@@ -1,4 +1,4 @@
-"""Trace tables in Parquet: files, catalog tables and the two-root read view."""
+"""Trace tables in Parquet: files and catalog tables."""
 
 from __future__ import annotations
 
@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import CALLER_COLUMNS
-from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL, TRACE_COLUMNS, TRACE_DDL
-from hoptrail.session import setting
-from hoptrail.sources.files import exists
+from hoptrail.schema import PARTITION_COLUMNS, TRACE_COLUMNS, TRACE_DDL
 
 
 def read_traces(spark: SparkSession, root: str) -> DataFrame:
@@ -36,37 +34,6 @@ def read_legacy_traces(spark: SparkSession, root: str) -> DataFrame:
     return fill_callers(read_traces(spark, root))
 
 
-LEAF_DDL = f"{PARTITION_DDL}, files bigint, bytes bigint, newest timestamp"
-
-
-def leaf_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files, bytes and newest change per partition, from the listing alone.
-
-    The binary source reports path, size and time without opening a file, and
-    on a streaming sink's folder it lists committed files only. A root that
-    does not exist has no partitions.
-    """
-    if not exists(spark, root):
-        return spark.createDataFrame([], LEAF_DDL)
-    # Read as text: a zone named `01` must not become the number 1.
-    with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    parts = [field.split() for field in PARTITION_DDL.split(", ")]
-    files = files.select(
-        "length",
-        "modificationTime",
-        *[
-            (F.col(name) if name in files.columns else F.lit(None)).cast(kind).alias(name)
-            for name, kind in parts
-        ],
-    )
-    return files.groupBy(*PARTITION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("length").alias("bytes"),
-        F.max("modificationTime").alias("newest"),
-    )
-
-
 def register_table(spark: SparkSession, name: str, root: str) -> None:
     """Declare an external table over a root; partitions are added by a sync."""
     spark.sql(
@@ -81,45 +48,3 @@ SYNC_MODES = {"ADD": "ADD", "DROP": "DROP", "FULL": "SYNC"}
 
 def sync_partitions(spark: SparkSession, name: str, mode: str = "ADD") -> None:
     spark.sql(f"MSCK REPAIR TABLE {name} {SYNC_MODES[mode.upper()]} PARTITIONS")
-
-
-# Lists of partitions up to this size (about 50 MB) are broadcast; it is counted
-# first, and a longer list is joined by a shuffle.
-MAX_BROADCAST_PARTITIONS = 500_000
-
-
-def in_partitions(traces: DataFrame, partitions: DataFrame) -> DataFrame:
-    """Traces of the given partitions only.
-
-    Broadcast, the list also becomes a runtime filter on the scan, so that no
-    other partition's files are opened.
-    """
-    listed = partitions.limit(MAX_BROADCAST_PARTITIONS + 1).count()
-    if listed <= MAX_BROADCAST_PARTITIONS:
-        partitions = F.broadcast(partitions)
-    return traces.join(partitions, PARTITION_COLUMNS, "left_semi")
-
-
-def trace_view(spark: SparkSession, landing: str, history: str) -> DataFrame:
-    """History, plus what is in landing only.
-
-    A partition promoted to history is read there; the partitions still pending
-    reach the landing scan as a runtime partition filter, so promoted files
-    are not read a second time. Unreadable messages have no time and are never
-    promoted: they are read from landing.
-    """
-    if not exists(spark, history):
-        return read_traces(spark, landing)
-    promoted = leaf_files(spark, history).select(*PARTITION_COLUMNS)
-    pending = (
-        leaf_files(spark, landing)
-        .where("files > 0")
-        .join(promoted, PARTITION_COLUMNS, "left_anti")
-        .select(*PARTITION_COLUMNS)
-    )
-    landed = read_traces(spark, landing)
-    return (
-        read_traces(spark, history)
-        .unionByName(in_partitions(landed, pending))
-        .unionByName(landed.where("year IS NULL"))
-    )

@@ -1,7 +1,8 @@
 """Recent-window table: the last minutes of traces as JSON payloads.
 
-Each micro-batch owns one slot, `batch_id=<n>/ingest_ms=<time>`. A replayed
-batch overwrites its slot, so nothing is doubled; readers pick slots by the
+Each micro-batch owns one slot, `query=<zone and query id>/batch_id=<n>/ingest_ms=<time>`. A
+replayed batch overwrites its slot, so nothing is doubled; another zone, or a query with a
+new checkpoint, whose ids start again at 0, has slots of its own. Readers pick slots by the
 partition value `ingest_ms`; slots past their time are dropped by folder.
 """
 
@@ -19,7 +20,7 @@ from hoptrail.sources.files import delete, exists, list_names
 
 # Fixed value: how long a trace stays in the table.
 RETENTION_SECONDS = 15 * 60
-SLOT_DDL = "zona string, payload string, batch_id bigint, ingest_ms bigint"
+SLOT_DDL = "zona string, payload string, query string, batch_id bigint, ingest_ms bigint"
 
 
 def _now_ms() -> int:
@@ -35,13 +36,13 @@ def payload(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def write_slot(batch: DataFrame, batch_id: int, root: str, now_ms: int) -> None:
+def write_slot(batch: DataFrame, batch_id: int, root: str, now_ms: int, owner: str = "batch") -> None:
     (
         batch.select("zona", payload(batch.columns).alias("payload"))
         .withColumn("ingest_ms", F.lit(now_ms).cast("bigint"))
         .write.mode("overwrite")
         .partitionBy("ingest_ms")
-        .parquet(f"{root}/batch_id={batch_id}")
+        .parquet(f"{root}/query={owner}/batch_id={batch_id}")
     )
 
 
@@ -56,17 +57,17 @@ def drop_expired(
 ) -> int:
     """Delete slots older than twice the retention; returns how many.
 
-    The second span is grace for readers that listed a slot just in time.
-    Batches arrive in the order of their ids, so the first slot still wanted
-    ends the search.
+    The second span is grace for readers that listed a slot just in time. Every slot is
+    looked at: only its time says whether it is wanted, not its id.
     """
     oldest, dropped = now_ms - 2 * retention_seconds * 1000, 0
-    for batch_id in _values(list_names(spark, root), "batch_id"):
-        slot = f"{root}/batch_id={batch_id}"
-        if any(moment >= oldest for moment in _values(list_names(spark, slot), "ingest_ms")):
-            break
-        delete(spark, slot)
-        dropped += 1
+    for query in list_names(spark, root):
+        for batch in list_names(spark, f"{root}/{query}") if query.startswith("query=") else []:
+            slot = f"{root}/{query}/{batch}"
+            times = _values(list_names(spark, slot), "ingest_ms")
+            if times and max(times) < oldest:
+                delete(spark, slot)
+                dropped += 1
     return dropped
 
 
@@ -84,6 +85,11 @@ def read_recent(
     return slots.where(F.col("ingest_ms") > oldest)
 
 
+def query_id(spark: SparkSession) -> str:
+    """Id of the streaming query whose batch is being written; its checkpoint keeps it."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def start_hot(
     traces: DataFrame,
     root: str,
@@ -91,6 +97,7 @@ def start_hot(
     trigger: dict | None = None,
     retention_seconds: int = RETENTION_SECONDS,
     clock: Callable[[], int] = _now_ms,
+    zone: str = "all",
 ) -> StreamingQuery:
     """Write traces to the recent-window table, every 5 seconds by default.
 
@@ -99,7 +106,7 @@ def start_hot(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         now_ms = clock()
-        write_slot(batch, batch_id, root, now_ms)
+        write_slot(batch, batch_id, root, now_ms, f"{zone}-{query_id(batch.sparkSession)}")
         drop_expired(batch.sparkSession, root, now_ms, retention_seconds)
 
     return (

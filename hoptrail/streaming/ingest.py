@@ -6,14 +6,43 @@ over one normalisation plan: one may fail or lag without the other.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from hoptrail.plans.normalize import normalize_messages
 from hoptrail.schema import PARTITION_COLUMNS
+from hoptrail.sources.files import exists, read_text, write_text
+from hoptrail.sources.lake import SINK_LOG
 from hoptrail.streaming.hot import start_hot
 
+# Names the query that a landing root belongs to; the underscore hides it from reads.
+OWNER = "_owner"
+
+
+def _query_id(spark, checkpoint: str) -> str | None:
+    """The id that a query keeps in its checkpoint."""
+    path = f"{checkpoint}/metadata"
+    if not exists(spark, path):
+        return None
+    return json.loads(read_text(spark, path))["id"]
+
+
+def _claim(spark, root: str, checkpoint: str) -> None:
+    """Refuse a root that another query, or one with another checkpoint, has written to.
+
+    A sink takes batch ids that its log has for committed and drops them without an error.
+    """
+    if not exists(spark, f"{root}/{SINK_LOG}"):
+        return
+    mine = _query_id(spark, checkpoint)
+    owner = f"{root}/{OWNER}"
+    theirs = read_text(spark, owner) if exists(spark, owner) else mine
+    if mine is None or mine != theirs:
+        raise ValueError(f"{root} belongs to another query or checkpoint; use a root per zone and query")
+
 
 def start_landing(
     traces: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
@@ -22,14 +51,17 @@ def start_landing(
 
     The file sink commits each batch once, also when it is run again. Row
     counts are reported by the query's progress (`landing`), without a second
-    pass. A late trace goes to the hour of its own time.
+    pass. A late trace goes to the hour of its own time. A root belongs to one query and
+    its checkpoint; any other is refused.
     """
+    spark = traces.sparkSession
+    _claim(spark, root, checkpoint)
     counted = traces.observe(
         "landing",
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("event_timestamp").isNull()).alias("unreadable"),
     )
-    return (
+    query = (
         counted.writeStream.format("parquet")
         .partitionBy(*PARTITION_COLUMNS)
         .option("path", root)
@@ -37,6 +69,9 @@ def start_landing(
         .trigger(**(trigger or {"processingTime": "2 minutes"}))
         .start()
     )
+    if not exists(spark, f"{root}/{OWNER}"):
+        write_text(spark, f"{root}/{OWNER}", query.id)
+    return query
 
 
 def start_ingest(
@@ -47,9 +82,12 @@ def start_ingest(
     checkpoints: str,
     trigger: dict | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both queries over a stream of messages with a `value` column."""
+    """Start both queries over a stream of messages with a `value` column.
+
+    Zones may share `landing` and `hot`: each has a root of its own in them.
+    """
     traces = normalize_messages(messages, zone)
     return (
-        start_landing(traces, landing, f"{checkpoints}/landing", trigger),
-        start_hot(traces, hot, f"{checkpoints}/hot", trigger),
+        start_landing(traces, f"{landing}/{zone}", f"{checkpoints}/landing", trigger),
+        start_hot(traces, hot, f"{checkpoints}/hot", trigger, zone=zone),
     )

@@ -45,7 +45,7 @@ def test_ingest_restarts_where_it_stopped(spark, tmp_path):
     spark.createDataFrame([("garbage",)], "value string").write.mode("append").text(source)
     run()
 
-    landed = read_traces(spark, landing)
+    landed = read_traces(spark, f"{landing}/zone1")
     assert landed.count() == 152
     assert landed.select("id_transaccion").distinct().count() == 152
     assert landed.where("year = 2023 AND month = 12 AND day = 31 AND hour = 23").count() == 1
@@ -79,6 +79,27 @@ def test_a_replayed_batch_replaces_its_slot(spark, tmp_path):
     assert hot.read_recent(spark, root, now_ms=1_003_000).count() == 40
 
 
+def test_slots_of_two_zones_and_of_a_new_checkpoint(spark, tmp_path):
+    slots = str(tmp_path / "hot")
+    for zone, checkpoint in (("zone1", "a"), ("zone2", "b"), ("zone1", "c")):
+        source = str(tmp_path / f"{zone}-{checkpoint}")
+        lines(spark, source, range(10))
+        traces = normalize_messages(spark.readStream.text(source), zone)
+        hot.start_hot(traces, slots, str(tmp_path / f"ck-{checkpoint}"), ONCE, zone=zone).awaitTermination()
+    recent = hot.read_recent(spark, slots)
+    assert recent.count() == 30 and recent.select("query").distinct().count() == 3
+    assert recent.where("batch_id = 0").count() == 30
+
+
+def test_an_old_slot_goes_whatever_its_id(spark, tmp_path):
+    root, minute = str(tmp_path / "hot"), 60_000
+    traces = as_traces(spark.read.parquet(EVENTS)).limit(5).cache()
+    hot.write_slot(traces, 7, root, 1, "zone1-old")
+    hot.write_slot(traces, 0, root, 1 + 40 * minute, "zone1-new")
+    assert hot.drop_expired(spark, root, 1 + 41 * minute) == 1
+    assert hot.read_recent(spark, root, now_ms=1 + 41 * minute).count() == 5
+
+
 def test_no_slots_yet(spark, tmp_path):
     assert hot.read_recent(spark, str(tmp_path / "none")).count() == 0
 

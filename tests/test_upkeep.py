@@ -3,12 +3,14 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from hoptrail.operators.upkeep import PROMOTIONS, Selection, compact, plan_compaction
+from hoptrail.operators.upkeep import Selection, compact, free, plan_compaction
 from hoptrail.plans.normalize import normalize
 from hoptrail.schema import PARTITION_COLUMNS, TRACE_COLUMNS
 from hoptrail.sources.events import as_traces
-from hoptrail.sources.files import delete
-from hoptrail.sources.tables import leaf_files, read_legacy_traces, read_traces, trace_view
+from hoptrail.sources import lake as lake_files
+from hoptrail.sources.files import delete, list_names
+from hoptrail.sources.lake import PROMOTIONS, read_record, read_versions, trace_view
+from hoptrail.sources.tables import read_legacy_traces, read_traces
 from hoptrail.streaming.ingest import start_landing
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -54,56 +56,138 @@ def lake(spark, tmp_path):
     return str(landing), str(tmp_path / "history"), land, spark.read.parquet(str(source))
 
 
+def history_of(spark, history):
+    return read_versions(spark, history, read_record(spark, history).runs)
+
+
+def late_row(source, leaf, name="late"):
+    return (
+        source.where(" AND ".join(f"{c} = '{leaf[c]}'" for c in PARTITION_COLUMNS))
+        .limit(1)
+        .withColumn("id_transaccion", F.lit(name))
+    )
+
+
 def test_compaction_keeps_rows_and_cuts_files(spark, lake):
     landing, history, _, source = lake
     report = compact(spark, landing, history, now=AFTER_ALL).cache()
-    done = report.where("action = 'compact'")
-    assert done.count() > 0
-    assert done.where("files_after <> 1 OR files_removed < 1").count() == 0
-    assert report.where("action = 'single_file' AND files_before <> 1").count() == 0
-    assert report.where("action NOT IN ('compact', 'single_file')").count() == 0
+    assert {r.action for r in report.collect()} == {"compact"}
+    assert report.where("files_after <> 1").count() == 0
+    # Hours of one file and the messages without a time are promoted too.
+    assert report.where("files_before = 1").count() > 0
+    assert report.where("year IS NULL AND rows = 1").count() == 1
+    assert report.agg(F.sum("rows")).first()[0] == source.count()
+    assert rows(history_of(spark, history)) == rows(source)
     assert rows(trace_view(spark, landing, history)) == rows(source)
-    assert read_traces(spark, history).count() == done.agg(F.sum("rows")).first()[0]
 
     again = compact(spark, landing, history, now=AFTER_ALL)
-    assert again.where("action = 'compact'").count() == 0
+    assert {r.action for r in again.collect()} == {"up_to_date"}
     assert rows(trace_view(spark, landing, history)) == rows(source)
 
 
-def test_an_interrupted_run_is_repeated(spark, lake):
+def test_a_run_without_a_record_has_no_effect(spark, lake):
     landing, history, _, source = lake
     compact(spark, landing, history, now=AFTER_ALL)
+    # As if the run had been killed after its write.
     delete(spark, f"{history}/{PROMOTIONS}")
+    assert trace_view(spark, landing, history).count() == source.count()
     report = compact(spark, landing, history, now=AFTER_ALL)
-    assert report.where("action = 'compact'").count() > 0
+    assert {r.action for r in report.collect()} == {"compact"}
     assert rows(trace_view(spark, landing, history)) == rows(source)
 
 
-def test_nothing_to_do(spark, tmp_path):
-    landing, history = str(tmp_path / "landing"), str(tmp_path / "history")
-    traces = as_traces(spark.read.parquet(EVENTS)).where("day = 1 AND hour < 4")
-    traces.coalesce(1).write.partitionBy(*PARTITION_COLUMNS).parquet(landing)
-    report = compact(spark, landing, history, now=AFTER_ALL)
-    assert {r.action for r in report.collect()} == {"single_file"}
-    assert rows(trace_view(spark, landing, history)) == rows(traces)
+def test_a_compaction_while_the_view_is_built(spark, lake, monkeypatch):
+    landing, history, _, source = lake
+    listed = lake_files.landed_files
+    ran = []
+
+    def slow(*args):
+        if not ran:
+            ran.append(1)
+            compact(spark, landing, history, now=AFTER_ALL)
+        return listed(*args)
+
+    monkeypatch.setattr(lake_files, "landed_files", slow)
+    assert rows(trace_view(spark, landing, history)) == rows(source)
+    assert rows(trace_view(spark, landing, history)) == rows(source)
 
 
-def test_late_traces_make_an_hour_due_again(spark, lake):
+def test_late_traces_are_seen_at_once(spark, lake):
     landing, history, land, source = lake
     compact(spark, landing, history, now=AFTER_ALL)
-    leaf = read_traces(spark, history).select(*PARTITION_COLUMNS).first()
-    late = (
-        source.where(" AND ".join(f"{c} = '{leaf[c]}'" for c in PARTITION_COLUMNS))
-        .limit(1)
-        .withColumn("id_transaccion", F.lit("late"))
-    )
-    land(late)
-    assert trace_view(spark, landing, history).where("id_transaccion = 'late'").count() == 0
-    report = compact(spark, landing, history, now=AFTER_ALL)
+    leaf = history_of(spark, history).where("year IS NOT NULL").select(*PARTITION_COLUMNS).first()
+    total = source.count()
+    land(late_row(source, leaf).cache())
+    view = trace_view(spark, landing, history)
+    assert view.where("id_transaccion = 'late'").count() == 1 and view.count() == total + 1
+    # However late, a run over recent hours takes the file along.
+    month_later = datetime(2024, 3, 1, tzinfo=timezone.utc)
+    report = compact(spark, landing, history, Selection(recent_hours=3), month_later)
     assert report.where("action = 'compact'").count() == 1
+    assert report.where("action = 'compact'").first().rows > 1
     view = trace_view(spark, landing, history)
-    assert view.where("id_transaccion = 'late'").count() == 1
-    assert view.count() == source.count() + 1
+    assert view.where("id_transaccion = 'late'").count() == 1 and view.count() == total + 1
+
+
+def test_history_grows_after_landing_was_freed(spark, lake):
+    landing, history, land, source = lake
+    compact(spark, landing, history, now=AFTER_ALL)
+    total = source.count()
+    leaf = history_of(spark, history).where("year IS NOT NULL").select(*PARTITION_COLUMNS).first()
+    extra = late_row(source, leaf).cache()
+    assert free(spark, landing, history, timedelta(days=1), AFTER_ALL) == (0, 0)
+    files, versions = free(spark, landing, history, timedelta(0), AFTER_ALL)
+    assert files > 0 and versions == 0
+    assert trace_view(spark, landing, history).count() == total
+    land(extra)
+    compact(spark, landing, history, now=AFTER_ALL)
+    assert trace_view(spark, landing, history).count() == total + 1
+    assert history_of(spark, history).count() == total + 1
+    # The version that was replaced and the late file go next.
+    assert free(spark, landing, history, timedelta(0), AFTER_ALL) == (1, 1)
+    assert trace_view(spark, landing, history).count() == total + 1
+
+
+def test_two_zones_in_one_deployment(spark, tmp_path):
+    landing, history = str(tmp_path / "landing"), str(tmp_path / "history")
+    traces = as_traces(spark.read.parquet(EVENTS)).where("day <= 2")
+    for zone in ("zone1", "zone2"):
+        mine = traces.where(F.col("zona") == zone)
+        mine.repartition(2).write.parquet(str(tmp_path / zone))
+        stream = spark.readStream.schema(traces.schema).parquet(str(tmp_path / zone))
+        start_landing(stream, f"{landing}/{zone}", str(tmp_path / f"ck-{zone}"), ONCE).awaitTermination()
+    both = traces.where("zona IN ('zone1', 'zone2')")
+    assert rows(trace_view(spark, landing, history)) == rows(both)
+    compact(spark, landing, history, now=AFTER_ALL)
+    assert rows(trace_view(spark, landing, history)) == rows(both)
+    assert rows(history_of(spark, history)) == rows(both)
+    # One root for two queries, or a new checkpoint on it, would lose batches.
+    with pytest.raises(ValueError, match="another query"):
+        start_landing(stream, f"{landing}/zone1", str(tmp_path / "ck-zone2"), ONCE)
+    with pytest.raises(ValueError, match="another query"):
+        start_landing(stream, f"{landing}/zone2", str(tmp_path / "ck-new"), ONCE)
+
+
+def test_only_chosen_hours_are_listed(spark, tmp_path, monkeypatch):
+    landing, history = str(tmp_path / "landing"), str(tmp_path / "history")
+    traces = as_traces(spark.read.parquet(EVENTS)).where("day <= 2")
+    traces.coalesce(2).write.partitionBy(*PARTITION_COLUMNS).parquet(landing)
+    listed = []
+
+    def spy(spark_, path):
+        listed.append(path)
+        return list_names(spark_, path)
+
+    monkeypatch.setattr(lake_files, "list_names", spy)
+    now = datetime(2024, 1, 2, 5, 30, tzinfo=timezone.utc)
+    hours = Selection(recent_hours=3).hours(now)
+    view = trace_view(spark, landing, history, hours)
+    chosen = traces.where("day = 2 AND hour IN (2, 3, 4)")
+    have = {(r.day, r.hour) for r in chosen.collect()}
+    assert rows(view) == rows(chosen)
+    assert {p.split("/day=")[1] for p in listed if "/day=" in p} == {"2/hour=2", "2/hour=3", "2/hour=4"}
+    plan = plan_compaction(spark, landing, history, Selection(recent_hours=3), now)
+    assert {(r.day, r.hour) for r in plan.collect()} == have
 
 
 def test_selections(spark, lake):
@@ -114,7 +198,7 @@ def test_selections(spark, lake):
         plan = plan_compaction(spark, landing, history, selection, now)
         return {(r.year, r.month, r.day, r.hour) for r in plan.collect()}
 
-    assert max(hours(Selection())) < (2024, 1, 3, 5)
+    assert max(h for h in hours(Selection()) if h[0]) < (2024, 1, 3, 5)
     assert {h[2] for h in hours(Selection.yesterday(now))} == {2}
     assert {h[2] for h in hours(Selection(day=date(2024, 1, 1)))} == {1}
     recent = hours(Selection(recent_hours=8))
@@ -142,34 +226,27 @@ def test_a_busy_hour_is_split(spark, tmp_path):
         .parquet(landing)
     )
     before = read_traces(spark, landing).count()
-    compact(spark, landing, history, now=AFTER_ALL, task_bytes=512 * 1024)
-    leaves = leaf_files(spark, history).orderBy(F.desc("files")).collect()
-    assert leaves[0].files > 1
-    assert all(leaf.files == 1 for leaf in leaves[1:])
+    report = compact(spark, landing, history, now=AFTER_ALL, task_bytes=512 * 1024)
+    leaves = report.orderBy(F.desc("files_after")).collect()
+    assert leaves[0].files_after > 1
+    assert all(leaf.files_after == 1 for leaf in leaves[1:])
     assert trace_view(spark, landing, history).count() == before
 
 
 def test_a_lookup_by_id_skips_row_groups(spark, lake):
     landing, history, _, _ = lake
     compact(spark, landing, history, now=AFTER_ALL)
-    known = read_traces(spark, history).first().id_transaccion
+    known = history_of(spark, history).first().id_transaccion
 
     def scanned(id_transaccion):
-        found = read_traces(spark, history).where(F.col("id_transaccion") == id_transaccion)
+        found = history_of(spark, history).where(F.col("id_transaccion") == id_transaccion)
         count = len(found.collect())
         scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
         return count, scan.metrics().apply("numOutputRows").value()
 
     assert scanned("no-such-id") == (0, 0)
     count, rows_read = scanned(known)
-    assert count == 1 and rows_read < read_traces(spark, history).count()
-
-
-def test_pending_partitions_prune_the_landing_scan(spark, lake):
-    landing, history, _, _ = lake
-    compact(spark, landing, history, now=AFTER_ALL)
-    plan = trace_view(spark, landing, history)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    assert count == 1 and rows_read < history_of(spark, history).count()
 
 
 def test_legacy_tables_are_read_by_name_and_filled(spark, tmp_path):
@@ -188,4 +265,4 @@ def test_legacy_tables_are_read_by_name_and_filled(spark, tmp_path):
     assert rows(read_legacy_traces(spark, new)) == sorted(rows(traces) * 2)
     history = str(tmp_path / "history")
     compact(spark, new, history, now=AFTER_ALL)
-    assert read_traces(spark, history).where("consumer_type IS NULL").count() == 0
+    assert history_of(spark, history).where("consumer_type IS NULL").count() == 0
