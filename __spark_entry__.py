@@ -18,9 +18,11 @@ from hoptrail.functions.traces import date_key, url_path, url_query
 from hoptrail.operators import chains, dashboard, detect, graph, load, lookup, pricing
 from hoptrail.operators import sessions as visits
 from hoptrail.plans.filters import TraceFilter
-from hoptrail.plans.normalize import normalize_messages
+from hoptrail.plans.normalize import normalize_messages, split_unreadable
+from hoptrail.schema import TRACE_COLUMNS
 from hoptrail.session import configure
 from hoptrail.sources.events import as_traces
+from hoptrail.sources.tables import fill_callers
 from hoptrail.streaming.hot import payload
 
 try:
@@ -77,14 +79,19 @@ def _messages(traces: DataFrame) -> DataFrame:
             F.concat("endpoint", F.lit("?k="), F.col("req_body_size").cast("string")).alias(
                 "endpoint"
             ),
-            "id_consumer",
-            "id_recurso",
+            F.when(F.col("req_body_size") % 7 != 2, F.col("id_consumer")).alias("id_consumer"),
+            F.when(F.col("req_body_size") % 7 == 3, F.lit(""))
+            .when(F.col("req_body_size") % 7 != 4, F.col("id_recurso"))
+            .alias("id_recurso"),
             "id_transaccion",
+            F.concat(F.lit("10.0.0."), "req_body_size").alias("ip_consumer"),
+            F.concat(F.lit("10.0.1."), "req_body_size").alias("ip_transaccion"),
             "req_body_size",
-            "resp_body_size",
-            "status_response",
+            (F.col("req_body_size") + 1).alias("resp_body_size"),
+            # Some have no status, no consumer, no resource or an empty one.
+            F.when(F.col("req_body_size") % 7 != 1, F.col("status_response")).alias("status_response"),
             "time_transaction",
-            "tipo_operacion",
+            F.lit("GET").alias("tipo_operacion"),
         )
     )
     envelope = F.to_json(F.struct(F.lit("1704067200.0").alias("@timestamp"), record.alias("log")))
@@ -92,8 +99,29 @@ def _messages(traces: DataFrame) -> DataFrame:
 
 
 def _normalized(traces: DataFrame) -> DataFrame:
-    return normalize_messages(_messages(traces), "zone9").drop(
-        "ip_consumer", "ip_transaccion", "resp_body_size", "tipo_operacion"
+    return normalize_messages(_messages(traces), "zone9")
+
+
+def _quarantine(traces: DataFrame) -> DataFrame:
+    """What is put aside when the messages of failed requests are cut off."""
+    cut = F.concat(F.lit("not json "), "id_transaccion").cast("binary")
+    failed = traces.where("status_response >= 500").select(cut.alias("value"))
+    messages = _messages(traces).unionByName(failed)
+    return split_unreadable(messages, "zone9")[1].select(F.col("value").alias("raw"))
+
+
+def _filled_callers(traces: DataFrame) -> DataFrame:
+    """Caller columns derived anew where an older table lacks them."""
+    lacking = traces.withColumns({name: F.lit(None).cast("string") for name in CALLER_COLUMNS})
+    return fill_callers(lacking).select("id_transaccion", *CALLER_COLUMNS)
+
+
+def _edge_drift(traces: DataFrame) -> DataFrame:
+    declared = traces.sparkSession.createDataFrame(
+        [("zone1", "orders-api", "search-api", 0.5)], "zone string, app string, target string, probability double"
+    )
+    return graph.edge_drift(
+        declared, graph.service_calls(traces), graph.requests_per_service(traces)
     )
 
 
@@ -113,9 +141,7 @@ def _date_volume(traces: DataFrame) -> DataFrame:
 def _hot_payload(traces: DataFrame) -> DataFrame:
     return traces.select(
         "id_transaccion",
-        payload(
-            ["id_transaccion", "endpoint", "query_params", "status_response", "event_timestamp"]
-        ).alias("payload"),
+        payload(TRACE_COLUMNS).alias("payload"),
     )
 
 
@@ -193,9 +219,21 @@ def _engine_queries() -> dict[str, Query]:
         "selected_endpoint_summary": _over_traces(dashboard.endpoint_summary, SELECTION),
         "selected_volume_by_minute": _over_traces(dashboard.volume_by_minute, SELECTION),
         "selected_zone_matrix": _over_traces(graph.zone_matrix, SELECTION),
+        "selected_errors_by_minute": _over_traces(dashboard.errors_by_minute, SELECTION),
+        "selected_bytes_by_minute": _over_traces(dashboard.bytes_by_minute, SELECTION),
+        "selected_latency_by_minute": _over_traces(dashboard.latency_by_minute, SELECTION),
+        "selected_service_nodes": _over_traces(graph.service_nodes, SELECTION),
+        "selected_service_edges": _over_traces(
+            lambda traces: graph.service_edges(traces, SELECTION).drop("id")
+        ),
+        "selected_service_error_ranking": _over_traces(graph.service_error_ranking, SELECTION),
         "service_nodes": _over_traces(graph.service_nodes),
         "service_nodes_merged": _over_traces(graph.service_nodes, merge=True),
-        "service_edges": _over_traces(graph.service_edges),
+        "service_edges": _over_traces(lambda traces: graph.service_edges(traces).drop("id")),
+        "service_edge_ids": _over_traces(lambda traces: graph.service_edges(traces).select("id")),
+        "edge_drift": _over_traces(_edge_drift),
+        "filled_callers": _over_traces(_filled_callers),
+        "quarantine": _over_traces(_quarantine),
         "zone_matrix": _over_traces(graph.zone_matrix),
         "service_error_ranking": _over_traces(graph.service_error_ranking),
         "service_catalogue": _over_traces(_catalogue),
@@ -368,15 +406,41 @@ def oracle_sql() -> dict[str, str]:
     return found
 
 
+# The columns of a payload in their order; the event time as text, with a fraction if it has one.
+_EVENT_TIME = """CASE WHEN date_trunc('second', event_timestamp) = event_timestamp
+    THEN strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S')
+    ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') END"""
+_GIVEN = {"event_timestamp": _EVENT_TIME, "tipo_operacion": "'GET'"} | dict.fromkeys(
+    ("ip_consumer", "ip_transaccion", "query_params"), "NULL"
+)
+PAYLOAD_FIELDS = ", ".join(f"'{name}': {_GIVEN.get(name, name)}" for name in TRACE_COLUMNS)
+# Views also checked with the selection, and whether they follow its endpoints.
+SELECTED = {
+    "errors_by_minute": True,
+    "bytes_by_minute": True,
+    "latency_by_minute": True,
+    "service_nodes": False,
+    "service_edges": False,
+    "service_error_ranking": False,
+}
+
+
+def _selected(sql: str, by_endpoint: bool) -> str:
+    where = f"{SELECTION_SQL} {ENDPOINT_SQL if by_endpoint else ''}"
+    picked = sql.replace("FROM traces", "FROM picked")
+    return f", picked AS (SELECT * FROM traces WHERE {where}) {picked}"
+
+
 def _engine_sql() -> dict[str, str]:
     over_traces = {
         "success_rate": SUCCESS_SQL,
         "requests_per_second": RPS_SQL,
         "volume_by_minute": f"{VOLUME_SQL} GROUP BY 1, 2",
         "errors_by_minute": """
-            SELECT date_trunc('minute', event_timestamp) AS time, count(*) AS peticiones_totales,
-                   count(CASE WHEN status_response >= 400 THEN 1 END) AS errores
-            FROM traces GROUP BY 1""",
+            SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) AS time,
+                   count(*) FILTER (status_response >= 400) AS errores,
+                   count(*) AS peticiones_totales
+            FROM traces GROUP BY ALL""",
         "bytes_by_minute": """
             SELECT date_trunc('minute', event_timestamp) AS time,
                    CAST(sum(req_body_size) AS BIGINT) AS bytes_recibidos,
@@ -402,12 +466,29 @@ def _engine_sql() -> dict[str, str]:
             SELECT id, title, subtitle, CAST(sum(mainstat) AS BIGINT) AS mainstat
             FROM nodes GROUP BY 1, 2, 3""",
         "service_edges": """
-            SELECT row_number() OVER (ORDER BY substr(md5(source || '|' || target), 1, 2),
-                                               source, target) AS id, *
-            FROM (SELECT caller AS source, node AS target,
-                         CAST(count(*) AS VARCHAR) AS mainstat,
-                         CAST(round(avg(time_transaction), 0) AS VARCHAR) AS secondarystat
-                  FROM traces WHERE id_recurso <> '' GROUP BY 1, 2)""",
+            SELECT caller AS source, node AS target, CAST(count(*) AS VARCHAR) AS mainstat,
+                   CAST(round(avg(time_transaction), 0) AS VARCHAR) AS secondarystat
+            FROM traces WHERE id_recurso <> '' GROUP BY 1, 2""",
+        "service_edge_ids": """
+            SELECT unnest(range(1, 1 + (SELECT count(DISTINCT (caller, node)) FROM traces
+                                        WHERE id_recurso <> ''))) AS id""",
+        "edge_drift": """
+            , declared(source, target, probability) AS (VALUES
+                ('zone1/orders-api', 'zone1/search-api', 0.5)),
+            seen AS (SELECT caller AS source, node AS target, count(*) AS requests
+                     FROM traces WHERE id_recurso <> '' AND caller <> 'external' GROUP BY 1, 2),
+            answered AS (SELECT node AS source, count(*) AS served
+                         FROM traces WHERE id_recurso <> '' GROUP BY 1)
+            SELECT source, target, round(probability, 6) AS probability,
+                   coalesce(requests, 0) AS requests,
+                   CASE WHEN probability IS NULL THEN 'undeclared'
+                        WHEN requests IS NULL THEN 'missing' ELSE 'matched' END AS status,
+                   round(coalesce(requests, 0) / served, 6) AS observed_share
+            FROM declared FULL JOIN seen USING (source, target) LEFT JOIN answered USING (source)""",
+        "filled_callers": """
+            SELECT id_transaccion, consumer_type, source_zone, source_service FROM traces""",
+        "quarantine": """
+            SELECT 'not json ' || id_transaccion AS raw FROM traces WHERE status_response >= 500""",
         "zone_matrix": f"{MATRIX_SQL} GROUP BY source_zone, zona",
         "service_error_ranking": """
             SELECT node AS servicio,
@@ -450,11 +531,21 @@ def _engine_sql() -> dict[str, str]:
             SELECT zona, status_response, count(*) AS total FROM traces
             WHERE status_response >= 400 GROUP BY 1, 2""",
         "normalized_messages": """
-            SELECT date_transaction, endpoint, id_consumer, id_recurso, id_transaccion,
-                   req_body_size, status_response, time_transaction,
-                   'k=' || k AS query_params,
+            SELECT date_transaction, endpoint, id_transaccion, 'GET' AS tipo_operacion,
+                   CASE WHEN req_body_size % 7 <> 2 THEN id_consumer END AS id_consumer,
+                   CASE req_body_size % 7 WHEN 3 THEN '' WHEN 4 THEN NULL
+                        ELSE id_recurso END AS id_recurso,
+                   '10.0.0.' || req_body_size AS ip_consumer,
+                   '10.0.1.' || req_body_size AS ip_transaccion,
+                   req_body_size, req_body_size + 1 AS resp_body_size,
+                   CASE WHEN req_body_size % 7 <> 1 THEN status_response END AS status_response,
+                   time_transaction, 'k=' || k AS query_params,
                    date_trunc('second', event_timestamp) AS event_timestamp,
-                   consumer_type, source_zone, source_service,
+                   CASE WHEN req_body_size % 7 = 2 THEN 'external'
+                        ELSE consumer_type END AS consumer_type,
+                   CASE WHEN req_body_size % 7 = 2 THEN 'unknown' ELSE source_zone END AS source_zone,
+                   CASE WHEN req_body_size % 7 = 2 THEN 'unknown'
+                        ELSE source_service END AS source_service,
                    'zone9' AS zona, year, month, day, hour
             FROM traces""",
         "caller_fields": """
@@ -463,15 +554,8 @@ def _engine_sql() -> dict[str, str]:
         "date_volume": """
             SELECT year * 10000 + month * 100 + day AS date_key, hour, count(*) AS total
             FROM traces GROUP BY ALL""",
-        "hot_payload": """
-            SELECT id_transaccion,
-                   '{"id_transaccion":"' || id_transaccion || '","endpoint":"' || endpoint
-                   || '","query_params":null,"status_response":' || status_response
-                   || ',"event_timestamp":"'
-                   || CASE WHEN date_trunc('second', event_timestamp) = event_timestamp
-                           THEN strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S')
-                           ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') END
-                   || '"}' AS payload
+        "hot_payload": f"""
+            SELECT id_transaccion, CAST(to_json({{{PAYLOAD_FIELDS}}}) AS VARCHAR) AS payload
             FROM traces""",
         "sessions": f"""{SESSION_SQL}
             SELECT id_consumer, min(event_timestamp) AS session_start,
@@ -581,8 +665,9 @@ def _engine_sql() -> dict[str, str]:
               SELECT *, user_id || '-' || strftime(event_timestamp, '%Y%m%d') AS txn FROM traces)
             SELECT txn AS id_transaccion,
                    row_number() OVER (PARTITION BY txn ORDER BY event_timestamp,
-                     time_transaction DESC, id_recurso, endpoint) AS hop,
-                   event_timestamp, source_zone || '/' || source_service AS caller,
+                     time_transaction DESC, id_recurso, endpoint, caller,
+                     status_response NULLS LAST) AS hop,
+                   event_timestamp, caller,
                    node AS callee, endpoint, status_response, time_transaction
             FROM chained""",
         "rolling_stats": """
@@ -601,19 +686,28 @@ def _engine_sql() -> dict[str, str]:
                      AS pct_err
             FROM traces GROUP BY 1""",
     }
+    over_traces |= {
+        f"selected_{name}": _selected(over_traces[name], by_endpoint)
+        for name, by_endpoint in SELECTED.items()
+    }
     return {name: f"{TRACES_SQL} {sql}" for name, sql in over_traces.items()} | {
         "pricing_summary": """
             SELECT l_returnflag, l_linestatus, count(*) AS count_order,
                    round(sum(l_quantity), 6) AS sum_qty, round(avg(l_extendedprice), 6) AS avg_price
             FROM lineitem GROUP BY 1, 2""",
         "top_open_orders": """
-            SELECT l_orderkey, round(sum(l_extendedprice * (1 - l_discount)), 6) AS revenue,
-                   o_orderdate, o_orderpriority
-            FROM customer, orders, lineitem
-            WHERE c_mktsegment = 'BUILDING' AND c_custkey = o_custkey AND l_orderkey = o_orderkey
-              AND o_orderdate < DATE '1998-03-15' AND l_shipdate > DATE '1998-03-15'
-            GROUP BY l_orderkey, o_orderdate, o_orderpriority
-            ORDER BY revenue DESC, o_orderdate LIMIT 10""",
+            WITH unshipped AS (
+              SELECT l_orderkey, sum(l_extendedprice - l_extendedprice * l_discount) AS total
+              FROM lineitem WHERE l_shipdate >= DATE '1998-03-16' GROUP BY l_orderkey
+            ), builders AS (
+              SELECT o_orderkey, o_orderdate, o_orderpriority
+              FROM orders SEMI JOIN (FROM customer WHERE c_mktsegment = 'BUILDING')
+                ON o_custkey = c_custkey
+              WHERE o_orderdate <= DATE '1998-03-14'
+            )
+            SELECT l_orderkey, round(total, 6) AS revenue, o_orderdate, o_orderpriority
+            FROM unshipped JOIN builders ON o_orderkey = l_orderkey
+            ORDER BY total DESC, o_orderdate LIMIT 10""",
         "url_parts": """
             SELECT page_id, split_part(url, '?', 1) AS path,
                    CASE WHEN contains(url, '?') THEN split_part(url, '?', 2) END AS query_params

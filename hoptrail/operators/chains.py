@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import NO_CALLER
 from hoptrail.functions.traces import cell_start, present, service_node
+from hoptrail.operators.graph import caller_columns
 from hoptrail.plans.filters import EVERYTHING, TraceFilter
 
 
@@ -16,7 +17,8 @@ def call_chains(
     """Number the hops of every transaction by start time.
 
     Among hops that start together the longer one comes first, as it encloses
-    the other. Hops are numbered inside (transaction, time segment), then
+    the other; callee, endpoint, caller and status settle the rest. A caller has the name that
+    the service graph gives it. Hops are numbered inside (transaction, time segment), then
     shifted by the hops of earlier segments, so that one id reused by a large
     part of the traffic is spread over its segments. Few transactions span
     two segments, hence few shifts are joined. Traces without a transaction
@@ -36,6 +38,8 @@ def call_chains(
         F.desc_nulls_last("time_transaction"),
         F.asc_nulls_last("id_recurso"),
         F.asc_nulls_last("endpoint"),
+        F.asc_nulls_last("source"),
+        F.asc_nulls_last("status_response"),
     )
     earlier = (
         Window.partitionBy("id_transaccion")
@@ -50,13 +54,13 @@ def call_chains(
         .select(*keys, "shift")
     )
     return (
-        hops.withColumn("place", F.row_number().over(inside))
+        hops.select("*", caller_columns()[0]).withColumn("place", F.row_number().over(inside))
         .join(shifts, keys, "left")
         .select(
             "id_transaccion",
             (F.col("place") + F.coalesce("shift", F.lit(0))).alias("hop"),
             "event_timestamp",
-            F.concat("source_zone", F.lit("/"), "source_service").alias("caller"),
+            F.col("source").alias("caller"),
             service_node().alias("callee"),
             "endpoint",
             "status_response",

@@ -74,11 +74,12 @@ def floods(
 ) -> DataFrame:
     """Windows in which one caller hits one endpoint far above its trailing mean.
 
-    The mean is over the `trailing` windows before, idle ones counting as zero.
+    The mean is over the `trailing` windows before, idle ones counting as zero; windows before
+    the selection are read for it, and a window that reaches into the selection counts whole.
     Each window partition holds counts per time window, not traces.
     """
     counts = (
-        _timed(traces, flt, window_seconds)
+        _timed(traces, flt.reaching_back((trailing + 1) * window_seconds), window_seconds)
         .groupBy("w", "zona", "endpoint", "id_consumer")
         .agg(F.count(F.lit(1)).alias("requests"))
         .select(
@@ -97,6 +98,7 @@ def floods(
         .where(
             (F.col("requests") >= min_requests)
             & (F.col("requests") > F.lit(factor) * F.col("trailing_mean"))
+            & flt.reaches(F.col("window_start"), window_seconds)
         )
         .drop("_at")
     )

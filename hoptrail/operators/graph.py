@@ -18,7 +18,8 @@ from hoptrail.plans.services import node, per_service
 CLIENTS = "clients"
 
 
-def _caller() -> list[Column]:
+def caller_columns() -> list[Column]:
+    """Node id, title and zone of the caller."""
     zone, service = F.col("source_zone"), F.col("source_service")
     outside = (
         (F.col("consumer_type") == EXTERNAL) | zone.isNull() | zone.isin("", UNKNOWN)
@@ -42,7 +43,7 @@ def service_nodes(
     named = present("id_recurso")
     pairs = per_service(
         flt.apply(traces, by_endpoint=False),
-        _caller(),
+        caller_columns(),
         {"requests": F.count(F.lit(1)), "named": F.count_if(named)},
     )
     ends = pairs.select(
@@ -78,7 +79,7 @@ def service_calls(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame
     """Observed calls: source, target, number of requests, mean latency."""
     calls = per_service(
         flt.apply(traces, by_endpoint=False).where(present("id_recurso")),
-        _caller()[:1],
+        caller_columns()[:1],
         {
             "requests": F.count(F.lit(1)),
             "time": F.sum(F.col("time_transaction").cast("double")),

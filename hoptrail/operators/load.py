@@ -105,12 +105,14 @@ def rising_zones(
 ) -> DataFrame:
     """Steps that end a strict rise of a zone's requests over `steps` steps.
 
-    A step without traffic counts as zero. The window per zone runs over counts
+    A step without traffic counts as zero; steps before the selection are read to tell a rise,
+    and a step that reaches into the selection counts whole. The window per zone runs over counts
     per step, so its size depends on the time span and not on the traffic.
     """
     step = cell_start(F.col("event_timestamp"), step_seconds)
     counts = (
-        flt.apply(traces)
+        flt.reaching_back((steps + 1) * step_seconds)
+        .apply(traces)
         .where(F.col("event_timestamp").isNotNull())
         .groupBy("zona", step.alias("step"))
         .agg(F.count(F.lit(1)).alias("requests"))
@@ -128,7 +130,8 @@ def rising_zones(
     rises = F.lit(True)
     for newer, older in zip(["requests", *names], names):
         rises = rises & (F.col(newer) > F.col(older))
-    return past.where(rises).select(
+    in_selection = flt.reaches(F.timestamp_micros("step"), step_seconds)
+    return past.where(rises & in_selection).select(
         "zona",
         F.timestamp_micros("step").alias("step_start"),
         "requests",

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-from datetime import datetime, timezone
+from dataclasses import dataclass, replace
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +40,19 @@ class TraceFilter:
             parts += self._chosen("endpoint", self.endpoints)
         return traces.where(reduce(Column.__and__, parts)) if parts else traces
 
+    def reaching_back(self, seconds: float) -> TraceFilter:
+        """The same selection, from that much earlier on."""
+        if self.from_ts is None:
+            return self
+        return replace(self, from_ts=_utc(self.from_ts) - timedelta(seconds=seconds))
+
+    def reaches(self, start: Column, seconds: float) -> Column:
+        """Whether a span that starts there and lasts so long ends after the selection's start."""
+        if self.from_ts is None:
+            return F.lit(True)
+        first = _utc(self.from_ts) - timedelta(seconds=seconds)
+        return start > F.lit(first.strftime("%Y-%m-%dT%H:%M:%S.%fZ")).cast("timestamp")
+
     @staticmethod
     def _chosen(column: str, values: Sequence[str] | None) -> list[Column]:
         if values is None:
@@ -47,8 +60,8 @@ class TraceFilter:
         return [F.col(column).isin(list(values)) if values else F.lit(False)]
 
     def _time_bounds(self) -> Iterator[Column]:
-        # Bare year and month bounds can be pushed to a metastore, the keys
-        # prune days and hours after listing, the timestamp reaches the files.
+        # Comparisons of bare columns can be pushed to a metastore, the keys
+        # prune hours after listing, the timestamp reaches the files.
         low = _utc(self.from_ts) if self.from_ts is not None else None
         high = _utc(self.to_ts) if self.to_ts is not None else None
         for moment, sign in ((low, "ge"), (high, "le")):
@@ -56,15 +69,20 @@ class TraceFilter:
                 continue
             day = moment.year * 10000 + moment.month * 100 + moment.day
             exact = F.lit(moment.strftime("%Y-%m-%dT%H:%M:%S.%fZ")).cast("timestamp")
+            year, month = F.col("year"), F.col("month")
+            later = (lambda c, v: c > v) if sign == "ge" else (lambda c, v: c < v)
+            same_day = F.col("day") >= moment.day if sign == "ge" else F.col("day") <= moment.day
+            yield (
+                later(year, moment.year)
+                | ((year == moment.year) & later(month, moment.month))
+                | ((year == moment.year) & (month == moment.month) & same_day)
+            )
             for column, bound in (
-                (F.col("year"), moment.year),
                 (date_key(), day),
                 (hour_key(), day * 100 + moment.hour),
                 (F.col("event_timestamp"), exact),
             ):
                 yield column >= bound if sign == "ge" else column <= bound
-        if low and high and low.year == high.year:
-            yield F.col("month").between(low.month, high.month)
 
 
 EVERYTHING = TraceFilter()

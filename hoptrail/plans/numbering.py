@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hoptrail.session import materialize
-
 # Two hex digits of a digest: at most 256 buckets, so the table of bucket sizes
 # that is windowed in one task and broadcast never has more rows than that.
 BUCKET_DIGITS = 2
@@ -16,16 +14,18 @@ def number_rows(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
     """Number the rows 1..n in the order of (digest bucket, keys).
 
     Rows are numbered inside each bucket in parallel, then shifted by the sizes
-    of the buckets before it. `df` is read twice, hence materialised.
+    of the buckets before it. `df` is used twice; its last exchange is shuffled once.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys])
-    bucketed = materialize(
-        df.withColumn("_bucket", F.substring(F.md5(text), 1, BUCKET_DIGITS))
-    )
+    bucketed = df.withColumn("_bucket", F.substring(F.md5(text), 1, BUCKET_DIGITS))
+    # One a row, but it needs every column: a count alone would prune them, and the two uses
+    # would no longer share an exchange.
+    whole = F.xxhash64(*df.columns)
+    one = F.lit(1) + whole.bitwiseXOR(whole)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
+        .agg(F.sum(one).alias("_size"))
         .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     )
     inside = Window.partitionBy("_bucket").orderBy(*[F.asc_nulls_last(key) for key in keys])
