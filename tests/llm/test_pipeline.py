@@ -1,0 +1,23 @@
+"""The stages in order, and the guard of the registry."""
+
+import __spark_entry__ as contract
+import corpus_pipeline
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["language", "near_copies", "decontamination", "secrets", "tokens"]
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = kept.count()
+        kept = corpus_pipeline.materialize(stage(spark, kept, SF_DIR))
+        assert kept.columns == docs.columns and 0 < kept.count() <= before
+    assert corpus_pipeline.tokens(spark, kept, SF_DIR).count() == kept.count()
+
+
+def test_all_are_registered():
+    names = contract.queries()
+    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 10
