@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hoptrail.functions.traces import time_parts
-from hoptrail.operators import dashboard, graph
+from hoptrail.operators import dashboard, detect, graph, load
 from hoptrail.plans.filters import TraceFilter
 from hoptrail.plans.latency import latency_profile
 from hoptrail.plans.numbering import number_rows
@@ -131,6 +131,45 @@ def test_filter_prunes_partitions_and_reaches_the_files(spark, stored):
     assert all("/zona=zone1/year=2024/month=1/day=5/hour=" in r.file_path for r in kept)
 
 
+def test_edges_share_one_exchange_and_need_no_job(spark):
+    traces = as_traces(spark.read.parquet(EVENTS))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("edges", "building service_edges")
+    edges = graph.service_edges(traces)
+    assert list(tracker.getJobIdsForGroup("edges")) == []
+    spark.sparkContext.setJobGroup("tests", "")
+    edges.collect()
+    assert "ReusedExchange" in edges._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_range_over_new_year_bounds_bare_columns(spark, tmp_path):
+    traces = as_traces(spark.read.parquet(EVENTS)).limit(50)
+    shifted = traces.withColumns({"year": F.lit(2023), "month": F.lit(12), "day": F.lit(31)})
+    traces.unionByName(shifted).write.partitionBy("year", "month", "day").saveAsTable("over_new_year")
+    try:
+        flt = TraceFilter("2023-12-31T20:00:00", "2024-01-01T04:00:00")
+        plan = flt.apply(spark.table("over_new_year"))._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        for bound in ("(year", "(month", "(day"):
+            assert bound in filters
+        assert "> 2023" in filters and "< 2024" in filters and ">= 31" in filters and "<= 1)" in filters
+    finally:
+        spark.sql("DROP TABLE over_new_year")
+
+
+def test_windows_before_the_selection_are_read(spark):
+    rows = [(f"2024-01-01 10:0{m}:30", "z", "/a", "c", 200) for m in range(6) for _ in range(10)]
+    traces = spark.createDataFrame(rows, "t string, zona string, endpoint string, id_consumer string, status_response int")
+    at = F.to_timestamp("t")
+    traces = traces.withColumns({"event_timestamp": at} | {k: F.expr(f"{k}(to_timestamp(t))") for k in ("year", "month", "day", "hour")})
+    steady = TraceFilter(from_ts="2024-01-01T10:05:00")
+    options = {"window_seconds": 60, "trailing": 5, "min_requests": 5, "factor": 2.0}
+    # Ten a minute all along is no flood, also where the selection begins.
+    assert detect.floods(traces, steady, **options).count() == 0
+    assert detect.floods(traces, **options).count() > 0
+    assert load.rising_zones(traces, steady, step_seconds=60, steps=1).count() == 0
+
+
 def test_filter_bounds_are_included(spark):
     t = datetime(2024, 1, 5, 6, 30)
     moments = spark.createDataFrame([(t,), (t + timedelta(hours=1),), (t - timedelta(microseconds=1),)], "event_timestamp timestamp")
