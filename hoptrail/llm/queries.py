@@ -85,7 +85,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     docs = docs.select("doc_id", "text")
-    model = toxicity.fit(toxicity.graded(docs.join(labels, "doc_id")))
+    labelled = toxicity.labelled_sample(docs, labels.select("doc_id", "toxic"))
+    model = toxicity.fit(toxicity.graded(labelled))
     found = toxicity.score(docs, model).drop("text")
     return found.withColumn("toxic", F.col("p_toxic") >= 0.5)
 

@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hoptrail.llm.common import materialize
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Features kept, and how many labelled texts must have one.
 FEATURES, LEAST_TEXTS = 4096, 5
@@ -73,6 +75,18 @@ def _sampled(labelled: DataFrame, sample: int) -> DataFrame:
     return labelled.filter(place < min(1.0, sample / max(1, labelled.count())))
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = 20_000
+) -> DataFrame:
+    """Labels with their documents, at most about `sample` of them, picked by a hash of the key.
+
+    The sampled labels are broadcast, as their number is bounded, and what is joined is written.
+    """
+    place = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    picked = labels.filter(place < min(1.0, sample / max(1, labels.count())))
+    return materialize(docs.join(F.broadcast(picked), key))
+
+
 def fit(labelled: DataFrame, text: str = "text", grade: str = "grade", sample: int = 20_000) -> Model:
     """Fit on a bounded sample of rows with a text and a grade (0 for harmless).
 
