@@ -4,12 +4,13 @@ A document is the set of hashes of its word shingles; documents of one set are o
 node's sketch is the `k` least hashes. Inverted lists hold, for each value, the nodes whose
 sketch retained it; nodes that share a list are compared. Two sets of the wanted similarity
 share most of their sketches, so with the values of each sketch in one global order, rarest
-first, it is enough to list the first few (`prefix`): frequent values are hardly ever listed.
+first, it is enough to list the first few: frequent values are hardly ever listed.
 
-Large groups of near copies share long lists. Each list is first compared with two of its
-members (its hubs), which joins most of a group; after that, only members that are not yet
-joined are compared with each other, inside the join, where the sketch of the union estimates
-their similarity. What passes is confirmed on the full sets.
+Near copies share many lists. Lists with the same most central member (their hub) are put
+together, and the members of such a family are compared in blocks, each pair of blocks in one
+task: first the sketches, by the similarity that the sketch of the union estimates, then the
+full sets of members that have a partner by then. No pair is written but the links that join
+members of a block.
 """
 
 from __future__ import annotations
@@ -108,38 +109,133 @@ def least_shared(n: Column, num: int, den: int) -> Column:
     return F.when(n * den <= K * num, exact).otherwise(F.least(exact, sampled)).cast("int")
 
 
-def _sizes_fit(a: Column, b: Column, num: int, den: int) -> Column:
-    return (a * den >= b * num) & (b * den >= a * num)
+def _least_shared(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """`least_shared` of many sizes."""
+    j, exact = num / den, -(-n * num // den)
+    spread = np.sqrt(K * j * (1 - j) * (1 - K / np.maximum(n * den / num, K)))
+    return np.where(n * den <= K * num, exact, np.minimum(exact, np.floor(K * j - SIGMAS * spread)))
+
+
+def common(rows: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many values each row shares with each other, by products of incidence matrices."""
+    if len(rows) * len(others) <= 16:
+        return np.array([[len(np.intersect1d(x, y, True)) for y in others] for x in rows], np.int64)
+    flat = np.concatenate(rows + others)
+    who = np.repeat(np.arange(len(rows) + len(others)), [len(x) for x in rows + others])
+    _, column = np.unique(flat, return_inverse=True)
+    left = who < len(rows)
+    # Only values on both sides count.
+    both = (np.bincount(column[left], minlength=column.max() + 1) > 0) & (
+        np.bincount(column[~left], minlength=column.max() + 1) > 0
+    )
+    column = np.where(both, np.cumsum(both) - 1, -1)[column]
+    out = np.zeros((len(rows), len(others)))
+    for first in range(0, int(both.sum()), 4096):
+        here = (column >= first) & (column < first + 4096)
+        width = min(4096, int(both.sum()) - first)
+        a, b = np.zeros((len(rows), width), np.float32), np.zeros((len(others), width), np.float32)
+        a[who[here & left], column[here & left] - first] = 1
+        b[who[here & ~left] - len(rows), column[here & ~left] - first] = 1
+        out += a @ b.T
+    return out.astype(np.int64)
+
+
+def _may_be_similar(n, sketches, m, others, num: int, den: int) -> np.ndarray:
+    """Pairs whose sketches allow the similarity.
+
+    Up to the lesser of two sketches' last values both sets are known whole, which is a sketch
+    of the union; the share of common values in it estimates the similarity.
+    """
+    shared = common(sketches, others)
+    least = np.minimum(_least_shared(n, num, den)[:, None], _least_shared(m, num, den)[None])
+    top = np.iinfo(np.int64).max
+    last_a = np.array([x[-1] if size > K else top for x, size in zip(sketches, n, strict=True)])
+    last_b = np.array([x[-1] if size > K else top for x, size in zip(others, m, strict=True)])
+    known_a = np.array([np.searchsorted(x, np.minimum(last, last_b), "right") for x, last in zip(sketches, last_a, strict=True)])
+    known_b = np.array([np.searchsorted(x, np.minimum(last, last_a), "right") for x, last in zip(others, last_b, strict=True)]).T
+    union = np.maximum(known_a + known_b - shared, 1)
+    j = num / den
+    fit = (n[:, None] * den >= m[None] * num) & (m[None] * den >= n[:, None] * num)
+    return fit & (shared >= least) & (shared >= union * j - SIGMAS * np.sqrt(union * j * (1 - j)))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of sorted batches, one by one."""
+    rest: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.column_stack([batch.column(k).to_numpy() for k in keys])
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(1)) + 1
+        if last is not None and (values[0] != last).any():
+            yield pa.Table.from_batches(rest)
+            rest = []
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            if i:
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(batch.slice(a, b - a))
+        last = values[-1]
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _arrays(table: pa.Table, name: str) -> list[np.ndarray]:
+    column = table.column(name).combine_chunks()
+    flat, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())
+    return np.split(flat, ends[:-1])
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the two blocks of a group; of one block, the same rows twice."""
+    block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
+    rows = np.flatnonzero(block == low)
+    return (rows, np.flatnonzero(block == high)) if low[0] != high[0] else (rows, rows)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of the linked pairs, as many as join what they join."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    out: tuple[list[int], list[int]] = ([], [])
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        x, y = int(a[i]), int(b[j])
+        if root(x) != root(y):
+            up[root(x)] = root(y)
+            out[0].append(x)
+            out[1].append(y)
+    return out
 
 
-def _union_estimate(a: Column, b: Column) -> Column:
-    """Of the `K` least values of the union of two sketches, how many are in both."""
-    both = F.array_intersect(a, b)
-    bound = F.element_at(F.slice(F.array_sort(F.array_union(a, b)), 1, K), -1)
-    return F.size(F.filter(both, lambda x: x <= bound))
+#: Members of a block and values that they hold, at most; two blocks meet in one task.
+BLOCK, BLOCK_VALUES = 512, 250_000
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar, after their sketches say they may be."""
-    of = lambda side: sets.select(F.col("node").alias(side), F.col("values").alias(f"{side}_values"))
-    joined = pairs.join(of("a"), "a").join(of("b"), "b")
-    a, b = F.col("a_values"), F.col("b_values")
-    both = F.size(F.array_intersect(a, b))
-    least = F.least(least_shared(F.size(a), num, den), least_shared(F.size(b), num, den))
-    maybe = _union_estimate(F.slice(a, 1, K), F.slice(b, 1, K)) >= least
-    exact = both * den >= (F.size(a) + F.size(b) - both) * num
-    return joined.filter(maybe).filter(exact).select("a", "b")
+def _in_blocks(members: DataFrame, values: str) -> DataFrame:
+    """`members` (hub, node, ...) once for each pair of blocks (low, high) of its family."""
+    count, held = F.count(F.lit(1)), F.sum(F.size(values))
+    parts = materialize(
+        members.groupBy("hub")
+        .agg(F.ceil(F.greatest(count / BLOCK, held / BLOCK_VALUES)).cast("int").alias("parts"), count.alias("held"))
+        .filter("held > 1")
+        .drop("held")
+    )
+    dealt = members.join(parts, "hub").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = dealt.withColumn("other", other).drop("parts")
+    return met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
 
 
-def _hub_pairs(lists: DataFrame) -> DataFrame:
-    """Each member of a list with the list's most central one, the one with most shared values."""
-    hubs = materialize(lists.groupBy("value", "band").agg(F.max(F.struct("shared", "node")).alias("hub")))
-    return (
-        lists.join(hubs, ["value", "band"])
-        .filter(F.col("node") != F.col("hub.node"))
-        .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
+def _meet(members: DataFrame, values: str, compare, schema: str) -> DataFrame:
+    keys = ["hub", "low", "high"]
+    return _in_blocks(members, values).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, schema)
 
 
 class NearCopies:
@@ -176,7 +272,7 @@ class NearCopies:
         self.labels = self._labels(docs, width)
 
     def _lists(self) -> DataFrame:
-        """(value, node, n, shared, band): the inverted lists of two members or more."""
+        """(value, node, shared): the inverted lists, with each node's number of shared values."""
         nodes = self.rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         held = nodes.select("node", "n", F.explode("sketch").alias("value"))
         # Written, like every side of a join that may be skewed: Spark can then split both sides.
@@ -189,10 +285,7 @@ class NearCopies:
         # The first values of the sketch are those that no other sketch has.
         room = size - least_shared(F.col("n"), self.num, self.den) + 1 - (size - shared)
         listed = F.slice("found", F.lit(1), F.greatest(room, F.lit(0)))
-        band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(self.den / self.num)))
-        return by_node.select(
-            "node", "n", shared.alias("shared"), band.alias("band"), F.explode(F.transform(listed, lambda x: x["value"])).alias("value")
-        )
+        return by_node.select("node", shared.alias("shared"), F.explode(F.transform(listed, lambda x: x["value"])).alias("value"))
 
     def _sets(self, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
         """(node, values): the full sets of the nodes, from one row of each."""
@@ -213,45 +306,53 @@ class NearCopies:
                     ["node", "values"],
                 )
 
-        found = docs.join(asked, docs["doc"].eqNullSafe(asked["doc"])).select("text", "nodes")
+        # Documents are shuffled at any size: what is asked for grows with them.
+        found = docs.join(asked.hint("merge"), docs["doc"].eqNullSafe(asked["doc"])).select("text", "nodes")
         return found.mapInArrow(whole, "node long, values array<long>").dropDuplicates(["node"])
 
     def _labels(self, docs: DataFrame, width: int) -> DataFrame:
         num, den = self.num, self.den
         lists = materialize(self._lists())
-        longer = materialize(lists.groupBy("value").count().filter("count > 1").select("value"))
-        lists = materialize(lists.join(longer, "value", "left_semi"))
-        sets = materialize(self._sets(docs, lists.select("node").distinct(), width))
-        links = materialize(_confirmed(_hub_pairs(lists), sets, num, den))
-        # A second hub for the members that the first one is not linked with.
-        joined = links.select(F.col("b").alias("node")).unionAll(links.select(F.col("a").alias("node"))).distinct()
-        rest = lists.join(joined, "node", "left_anti")
-        links = materialize(links.unionAll(_confirmed(_hub_pairs(rest), sets, num, den)))
-        known = materialize(components(links))
-        self.links = materialize(links.unionAll(self._across(lists, sets, known)))
-        return components(self.links)
-
-    def _across(self, lists: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
-        """Links between listed nodes that aren't known to be in one component."""
-        num, den = self.num, self.den
-        labelled = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-        open_lists = labelled.join(materialize(mixed.select("value")), "value", "left_semi").join(
-            sets.select("node", F.slice("values", 1, K).alias("sketch")), "node"
+        hubs = materialize(
+            lists.groupBy("value")
+            .agg(F.max(F.struct("shared", "node")).alias("hub"), F.count(F.lit(1)).alias("held"))
+            .filter("held > 1")
+            .select("value", F.col("hub.node").alias("hub"))
         )
-        side = materialize(open_lists.select("value", "node", "n", "component", "sketch"))
-        a, b = side.alias("a"), side.alias("b")
-        least = F.least(least_shared(F.col("a.n"), num, den), least_shared(F.col("b.n"), num, den))
-        pairs = a.join(
-            b,
-            (F.col("a.value") == F.col("b.value"))
-            & (F.col("a.node") < F.col("b.node"))
-            & (F.col("a.component") != F.col("b.component"))
-            & _sizes_fit(F.col("a.n"), F.col("b.n"), num, den)
-            & (_union_estimate(F.col("a.sketch"), F.col("b.sketch")) >= least),
+        members = materialize(lists.join(hubs, "value").select("hub", "node").distinct())
+        sketches = materialize(
+            self.rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         )
-        pairs = materialize(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
-        return _confirmed(pairs, sets, num, den)
+
+        def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in _groups(batches, ["hub", "low", "high"]):
+                a, b = _sides(table)
+                if not len(a) or not len(b):
+                    continue
+                n, held, node = table.column("n").to_numpy(), _arrays(table, "sketch"), table.column("node").to_numpy()
+                ok = _may_be_similar(n[a], [held[i] for i in a], n[b], [held[i] for i in b], num, den)
+                ok &= node[a][:, None] != node[b][None]
+                found = np.union1d(node[a][ok.any(1)], node[b][ok.any(0)])
+                hub = np.full(len(found), table.column("hub")[0].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(hub), pa.array(found)], ["hub", "node"])
+
+        open_ = materialize(_meet(members.join(sketches, "node"), "sketch", may, "hub long, node long").distinct())
+        sets = materialize(self._sets(docs, open_.select("node").distinct(), width))
+
+        def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in _groups(batches, ["hub", "low", "high"]):
+                a, b = _sides(table)
+                if not len(a) or not len(b):
+                    continue
+                held, node = _arrays(table, "values"), table.column("node").to_numpy()
+                both = common([held[i] for i in a], [held[i] for i in b])
+                n = np.array([len(x) for x in held])
+                similar = both * den >= (n[a][:, None] + n[b][None] - both) * num
+                x, y = _forest(node[a], node[b], similar)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+        self.links = materialize(_meet(open_.join(sets, "node"), "values", link, "a long, b long").distinct())
+        return components(self.links)
 
     def groups(self) -> DataFrame:
         """(doc, n_shingles, component_id, kept) for every row; the id is the group's least key."""
