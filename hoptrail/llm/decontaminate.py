@@ -7,7 +7,7 @@ words, each moved back by the word's offset, meet; all windows of an item share
 (document place less item place), so lists are met per alignment. An entry goes into a meeting
 only if the words around it agree with the item's over at least a window, which makes what meets
 exact phrase matches: the runs of all entries of an alignment cover every window in it. `near`
-finds the rarest words of an item close together in any order.
+finds the rarest words of an item, of those that occur at all, close together in any order.
 
 Words are taken from texts as `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.
 """
@@ -134,8 +134,9 @@ def _post(
 def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) -> DataFrame:
     """(uid, item_place, term, near, item_lead, item_around, width): words whose lists are met.
 
-    `near` is set for one place of each of the item's `near` rarest different words. Windows
-    with a word that no document has are skipped: they can't occur.
+    `near` numbers, from 0, one place of each of the item's `near` rarest different words that
+    some document has; an item of several different words needs two of them. Windows with a word
+    that no document has are skipped: they can't occur.
     """
     placed = items.select("uid", F.posexplode("words").alias("place", "term"))
     rated = placed.join(frequency, "term", "left").groupBy("uid").agg(
@@ -155,13 +156,16 @@ def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) ->
                         chosen.update((start + np.argsort(part, kind="stable")[:RAREST]).tolist())
                 close: dict[str, int] = {}
                 for i in np.argsort(n, kind="stable").tolist():
-                    if len(close) < near:
+                    if len(close) < near and n[i] > 0:
                         close.setdefault(at[i]["term"], i)
-                for i in sorted(chosen | set(close.values())):
+                if len(close) < min(2, near, len({x["term"] for x in at})):
+                    close = {}
+                order = {i: k for k, i in enumerate(close.values())}
+                for i in sorted(chosen | set(order)):
                     uid.append(u)
                     place.append(i)
                     term.append(at[i]["term"])
-                    rare.append(i in close.values())
+                    rare.append(order.get(i))
                     words_, mine = _around([x["term"] for x in at], i, window)
                     lead.append(mine)
                     around.append(" ".join(words_))
@@ -171,7 +175,7 @@ def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) ->
                     pa.array(uid, pa.int64()),
                     pa.array(place, pa.int32()),
                     pa.array(term, pa.string()),
-                    pa.array(rare, pa.bool_()),
+                    pa.array(rare, pa.int32()),
                     pa.array(lead, pa.int32()),
                     pa.array(around, pa.string()),
                     pa.array(widths, pa.int32()),
@@ -181,7 +185,7 @@ def _anchors(items: DataFrame, frequency: DataFrame, window: int, near: int) ->
 
     return rated.mapInArrow(
         choose,
-        "uid long, item_place int, term string, near boolean, item_lead int, item_around string, width int",
+        "uid long, item_place int, term string, near int, item_lead int, item_around string, width int",
     )
 
 
@@ -287,17 +291,33 @@ class Index:
         ).select("doc", "mark", "item_id", "run.start", "run.end")
 
     def near(self, slop: int = 20) -> DataFrame:
-        """(doc, mark, item_id, span): documents that have all of an item's rarest different words
-        within `slop` words, in any order; `span` is the least number of words that holds them."""
-        rare = self.anchors.filter("near").select("uid", "term")
-        needed = rare.groupBy("uid").agg(F.count(F.lit(1)).alias("needed"))
-        entries = self.postings.filter(F.col("term").isNotNull()).join(rare, "term")
-        grouped = (
-            entries.groupBy("doc", "mark", "uid", "term")
+        """(doc, mark, item_id, span): documents that have all of an item's near words within `slop`
+        words, in any order; `span` is the least number of words that holds them.
+
+        The lists of an item's rarest word say which documents the others are looked up in.
+        """
+        rare = self.anchors.filter("near IS NOT NULL").select("uid", "term", "near")
+        places = (
+            self.postings.filter(F.col("term").isNotNull())
+            .join(rare.select("term").distinct(), "term", "left_semi")
+            .groupBy("doc", "mark", "term")
             .agg(F.collect_set("place").alias("places"))
+        )
+        wanted = rare.groupBy("uid").agg(F.collect_set("term").alias("terms"))
+        sought = (
+            places.join(rare.filter("near = 0").select("uid", "term"), "term")
+            .select("doc", "mark", "uid")
+            .join(wanted, "uid")
+            .select(
+                F.col("doc").alias("in_doc"), F.col("mark").alias("in_mark"), "uid",
+                F.size("terms").alias("needed"), F.explode("terms").alias("sought"),
+            )
+        )
+        same = F.col("doc").eqNullSafe(F.col("in_doc")) & (F.col("mark") == F.col("in_mark")) & (F.col("term") == F.col("sought"))
+        grouped = (
+            sought.join(places, same)
             .groupBy("doc", "mark", "uid")
-            .agg(F.collect_list("places").alias("lists"))
-            .join(needed, "uid")
+            .agg(F.collect_list("places").alias("lists"), F.max("needed").alias("needed"))
             .filter(F.size("lists") == F.col("needed"))
         )
 
@@ -329,9 +349,15 @@ def covered(runs: Column) -> Column:
     return F.aggregate(F.array_sort(runs), begin, add, lambda state: state["n"]).cast("long")
 
 
-def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
+def report(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", slop: int | None = None, **names
+) -> DataFrame:
     """Per document: key, n_words, n_hit, n_items, items_sha256, contaminated, matches.
 
+    With `slop` also the proximity matches of `Index.near`, by item: n_near, near_sha256 (of the
+    items' ids, as items_sha256) and near, an array of item_id and span. They don't make a document
+    contaminated.
+
     Null and empty texts have no words and no hits; null items and items without a word match
     nothing; an item without an id is hit but not named. Equal rows stay, each with the same
     result; items given twice count once. An empty benchmark leaves every document clean.
@@ -350,8 +376,9 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     same = lengths["doc"].eqNullSafe(found["doc"]) & (lengths["mark"] == found["mark"])
     items = F.coalesce("items", F.array().cast("array<string>"))
     hits = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return lengths.join(found, same, "left").select(
+    out = lengths.join(found, same, "left").select(
         lengths["doc"].alias(key),
+        lengths["mark"].alias("mark"),
         "n_words",
         hits.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
@@ -359,6 +386,21 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         (hits > 0).alias("contaminated"),
         F.coalesce("matches", F.array().cast("array<struct<item_id:string,start:int,end:int>>")).alias("matches"),
     )
+    if slop is None:
+        return out.drop("mark")
+    spans = index.near(slop).groupBy("doc", "mark", "item_id").agg(F.min("span").alias("span"))
+    close = materialize(
+        spans.groupBy("doc", "mark").agg(F.array_sort(F.collect_list(F.struct("item_id", "span"))).alias("near"))
+    )
+    near = F.coalesce("near", F.array().cast("array<struct<item_id:string,span:int>>"))
+    named = F.filter(near["item_id"], lambda x: x.isNotNull())
+    same = out[key].eqNullSafe(close["doc"]) & (out["mark"] == close["mark"])
+    return out.join(close, same, "left").select(
+        *(out[c] for c in out.columns if c != "mark"),
+        F.size(named).cast("long").alias("n_near"),
+        digest(named).alias("near_sha256"),
+        near.alias("near"),
+    )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:

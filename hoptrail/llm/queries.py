@@ -37,7 +37,7 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
-    return decontaminate.report(docs, benchmark).drop("matches")
+    return decontaminate.report(docs, benchmark, slop=20).drop("matches", "near")
 
 
 URL_RULES = [

@@ -4,6 +4,7 @@ rows, empty tables and columns of clashing names."""
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -179,6 +180,39 @@ def test_proximity(spark):
     assert [(r.doc, r.item_id, r.span) for r in near.collect()] == [(1, "7", 6)]
 
 
+def test_proximity_against_brute_force(spark, docs, words):
+    """Items with words that no document has, alone or among others; of several texts; without an id."""
+    rng = random.Random(12)
+    rows = docs.select("doc_id", "text").collect()
+    counts = Counter(w for r in rows for w in item_words(r.text))
+    items = [(i, " ".join(rng.sample(words, 6) + ["qqabsent"] * (i % 2))) for i in range(20)]
+    items += [(30, "one"), (31, "qqabsent qqother"), (32, f"qqabsent {words[0]} qqother"), (None, items[1][1]), (1, items[3][1])]
+    want = {}
+    for key, text in items:
+        here = [w for w in dict.fromkeys(item_words(text)) if counts[w]]
+        near = sorted(here, key=lambda w: (counts[w], item_words(text).index(w)))[:3]
+        if len(near) < min(2, len(set(item_words(text)))):
+            continue
+        for r in rows:
+            w = item_words(r.text)[:10_000]
+            for size in range(len(near), 21):
+                if any(set(near) <= set(w[k : k + size]) for k in range(len(w) - size + 1)):
+                    at = (r.doc_id, hash(r.text)), key if key is None else str(key)
+                    want[at] = min(size, want.get(at, size))
+                    break
+    assert any(k is not None and int(k) % 2 for _, k in want) and any(k is None for _, k in want)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.report(docs, benchmark, slop=20).collect()
+    assert len(got) == len(rows)
+    found = sorted(str((r.doc_id, n.item_id, n.span)) for r in got for n in r.near)
+    repeats = Counter((r.doc_id, hash(r.text)) for r in rows)
+    assert found == sorted(str((doc[0], item, span)) for (doc, item), span in want.items() for _ in range(repeats[doc]))
+    for r in got:
+        named = [n.item_id for n in r.near if n.item_id is not None]
+        assert r.n_near == len(named) and r.near_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+    assert decontaminate.report(docs, benchmark.filter("false"), slop=20).filter("n_near > 0").count() == 0
+
+
 def test_url_rules_and_parts(spark):
     urls = [None, "", "no scheme", "HTTP://WWW.Example.NET/en/x?y#z", "a://example.net", "a://b.org/fr/", "a://x.net?q=/en/",
             "a://deep.example.com/de/1://2", "a://notexample.com/de/1", "://É.net/x"]
