@@ -1,9 +1,10 @@
 """Repeated passages by sliding spans of sentences.
 
-A text is cut into sentences. From each sentence on, and back from each, the shortest run of
-several sentences that is long enough is a span; its words are hashed, and equal spans meet by
-hash. Of each repeated span the first one (least key, then place) stays; sentences that any
-other one covers are removed. Runs in both directions cover a repeated passage up to both ends.
+A text is cut into sentences. From each sentence on, and back from each, the shortest run that
+is long enough is a span; its words are hashed, and equal spans meet by hash. Of each repeated
+span the first one (least key, then place) stays; sentences that any other one covers are
+removed. Each run of sentences that is long enough is the union of the spans in it, so this
+removes the same sentences as hashing every such run would.
 """
 
 from __future__ import annotations
@@ -20,19 +21,27 @@ from pyspark.sql import functions as F
 from hoptrail.llm.common import materialize
 
 #: A span has this many sentences and words, or any number of sentences and `WORDS_ALONE` words.
-SENTENCES, WORDS, WORDS_ALONE = 2, 20, 30
-_SENTENCE = re.compile(r"[^\s].*?(?:[.!?…。！？]+(?=\s|$)|(?=\n)|$)", re.M)
+#: Two sentences of fewer words repeat by chance: of the repeated pairs of sentences on sf0.1, 511
+#: of 1770 under 8 words are in otherwise different documents, and 127 of 5928 of 8 words or more.
+SENTENCES, WORDS, WORDS_ALONE = 2, 8, 20
+_SENTENCE = re.compile(r"[^\s].*?(?:[.!?…。！？]+(?=\s|$)|[。！？]+[」』”’）]*|(?=\n)|$)", re.M)
+#: Characters of scripts without spaces between words; two count as a word.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+)
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
-    """Places (start, end) of the sentences: up to `.`, `!` or `?` before white space, or a line's end."""
+    """Places (start, end) of the sentences: up to `.`, `!` or `?` before white space, `。`, `！` or `？`, or a line's end."""
     return [m.span() for m in _SENTENCE.finditer(text or "")]
 
 
 def spans(text: str | None) -> list[tuple[int, int, int]]:
     """(hash, first sentence, end) of the spans of a text."""
     words = [text[a:b].lower().split() for a, b in sentences(text)]
-    total = np.concatenate(([0], np.cumsum([len(w) for w in words]))).tolist()
+    unspaced = _UNSPACED.search(text or "") is not None
+    sizes = [len(w) + (len(_UNSPACED.findall("".join(w))) // 2 if unspaced else 0) for w in words]
+    total = np.concatenate(([0], np.cumsum(sizes))).tolist()
     n, found = len(words), set()
     enough = lambda a, b: (b - a >= SENTENCES and total[b] - total[a] >= WORDS) or total[b] - total[a] >= WORDS_ALONE
     b = 0

@@ -254,6 +254,43 @@ def test_repeated_passages_go_but_for_the_first(spark, docs):
     assert sentence_spans.remove_repeats(docs).filter("doc_id = 61 AND n_removed = 0").count() == 1
 
 
+def test_repeated_passages_against_every_run(spark, words):
+    """All runs of 2 sentences and 8 words, or of 20 words; passages begin in the middle of a sentence."""
+    rng = random.Random(13)
+    sentence = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize()
+    some = lambda n, low, high: [sentence(rng.randint(low, high)) for _ in range(n)]
+    passages = [some(3, 3, 7) for _ in range(6)] + [some(1, 20, 29) for _ in range(4)] + [some(1, 3, 9) for _ in range(4)] + [some(4, 1, 12) for _ in range(4)]
+    texts = []
+    for i in range(60):
+        body = some(rng.randint(1, 6), 1, 25)
+        for whole in rng.sample(passages, 2):
+            head, tail = sentence(6), sentence(5)
+            body[rng.randint(0, len(body)) : 0] = [f"{sentence(i % 5)} {head}".strip(), *whole, tail]
+        texts.append(". ".join(body) + ".")
+    texts += ["今日はとても良い天気です。明日は雨が降るでしょう。", "始まり。今日はとても良い天気です。明日は雨が降るでしょう。終わり。"]
+    first, runs = {}, {}
+    for i, text in enumerate(texts):
+        parts = [p.lower() for p in re.findall(r"[^.。]+[.。]", text)]
+        size = [len(p.split()) + len(re.findall("[\u3040-\u9fff]", p)) // 2 for p in parts]
+        for a in range(len(parts)):
+            for b in range(a + 1, len(parts) + 1):
+                if (b - a >= 2 and sum(size[a:b]) >= 8) or sum(size[a:b]) >= 20:
+                    runs[i, a, b] = " ".join(" ".join(parts[a:b]).split())
+                    first.setdefault(runs[i, a, b], (i, a))
+    gone = {}
+    for (i, a, b), run in runs.items():
+        if first[run] != (i, a):
+            gone.setdefault(i, set()).update(range(a, b))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in sentence_spans.remove_repeats(frame).collect()}
+    assert {i: r.n_removed for i, r in got.items()} == {i: len(gone.get(i, ())) for i in range(len(texts))}
+    for i, text in enumerate(texts):
+        kept = [p.strip() for k, p in enumerate(re.findall(r"[^.。]+[.。]", text)) if k not in gone.get(i, ())]
+        assert got[i].text.replace(" ", "") == "".join(kept).replace(" ", "")
+    assert got[61].text == "始まり。終わり。"
+    assert sum(map(len, gone.values())) > 150
+
+
 def test_secrets_against_patterns(spark, docs):
     rng = random.Random(4)
     key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
