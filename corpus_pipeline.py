@@ -17,18 +17,15 @@ from hoptrail.llm.queries import tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Below this share of the best language in a text's mean word, the language is not known.
-LEAST_SCORE = 0.5
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; a missing `lang` is filled in."""
+    """Documents in a known language, however little it stands out; a missing `lang` is filled in."""
     prepare(spark)
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id")) | F.col("doc_id").isNull()))
     found = F.col("language")
     return (
         langid.predict(docs, model)
-        .filter((found["lang"] != langid.UNKNOWN) & (found["score"] >= LEAST_SCORE))
+        .filter(found["lang"] != langid.UNKNOWN)
         .withColumn("lang", F.coalesce("lang", found["lang"]))
         .drop("language")
     )

@@ -18,6 +18,16 @@ def test_stages(spark):
     assert corpus_pipeline.tokens(spark, kept, SF_DIR).count() == kept.count()
 
 
+def test_language_keeps_texts_of_words_that_languages_share(spark):
+    own = {"aa": "kamo tira moka", "bb": "schupf lichung pfung", "cc": "eauque mentoi oique"}
+    rows = [(i, f"{own[lang]} radio hotel taxi", lang) for i, lang in enumerate([*own] * 20)]
+    rows += [(100, "Radio hotel.", "aa"), (101, "taxi", "cc"), (102, "hotel radio", None), (103, "12 !", "aa"), (104, None, "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, SF_DIR).collect()
+    assert sorted(r.doc_id for r in kept) == [*range(60), 100, 101, 102]
+    assert all(r.lang for r in kept)
+
+
 def test_all_are_registered():
     names = contract.queries()
     assert "pipeline" in names and sum(n.startswith("op") for n in names) == 10
