@@ -469,10 +469,11 @@ def _examples(source: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(pages: DataFrame, source: str = "html", sample: int = 400, rounds: int = 20, depth: int = 5) -> Trees | None:
-    """Trees from at most about `sample` pages, picked by a hash of their source. None without pages."""
+    """Trees from at most about `sample` different pages, picked by a hash of their source. None without pages."""
     rows = pages.select(F.col(f"`{source}`").alias("html")).filter(F.col("html").isNotNull())
     place = F.pmod(F.xxhash64("html"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rows = rows.filter(place < min(1.0, sample / max(1, rows.count()))).distinct()
+    different = rows.select(F.xxhash64("html").alias("mark")).distinct().count()
+    rows = rows.filter(place < min(1.0, sample / max(1, different))).distinct()
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

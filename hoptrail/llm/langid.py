@@ -86,7 +86,7 @@ def _logs(counts: dict[str, Counter], languages: list[str], least: int) -> Table
 def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = 1000
 ) -> Model:
-    """Fit on a bounded sample: at most about `sample` rows of each language (all, if fewer).
+    """Fit on a bounded sample: at most about `sample` different texts of each language (all, if fewer).
 
     Which rows is decided by a hash of the text, so it depends on neither order nor partitions;
     copies of a text are in or out together and count once. Rows without a text or a language
@@ -95,7 +95,9 @@ def fit(
     """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # Copies would only make the share of the texts smaller.
+    texts = rows.select("lang", F.xxhash64("text").alias("mark")).distinct()
+    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         nothing = Table({}, np.empty((0, 0)))

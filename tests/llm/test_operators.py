@@ -328,6 +328,16 @@ def test_language_of_held_out_texts(spark):
     assert {r.language.lang for r in langid.predict(frame, nobody).collect()} == {"und"}
 
 
+def test_copies_take_no_share_of_a_sample(spark):
+    rows = [(f"{a}{b} {a}{b} {b}{a}", a) for a in ("ka", "mo", "ti") for b in ("ra", "su", "ne", "lo", "pi")]
+    frame = spark.createDataFrame(rows + rows[:1] * 2000, "text string, lang string")
+    once, often = langid.fit(frame.distinct(), sample=10), langid.fit(frame, sample=10)
+    assert len(once.words.rows) == 15 and once.words.rows.keys() == often.words.rows.keys()
+    page = "<html><body><nav>Home</nav><article><p>One two three four five.</p></article></body></html>"
+    pages = spark.createDataFrame([(page,)] * 300, "html string")
+    assert html_text.fit(pages, sample=1, rounds=1) is not None
+
+
 def test_severity_orders_texts(spark, words):
     rng = random.Random(2)
     rows = []
