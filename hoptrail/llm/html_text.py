@@ -41,6 +41,11 @@ SILENT = frozenset(
     "map applet frameset noframes".split()
 )
 RAW = frozenset(("script", "style", "textarea", "title", "iframe", "noscript", "noframes"))
+#: What can stand in a head; any other start tag and any text end it, as its end tag is optional.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Silent elements that can't hold themselves: one whose end tag isn't there before the next such
+#: start tag is unclosed, and what follows is not its own.
+CONTROLS = {tag: re.compile(f"<(/?){tag}(?=[\\s/>])", re.I) for tag in ("select", "button")}
 #: Start tags that end an open element of the given kinds, and what bounds the search for it.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -108,6 +113,8 @@ def parse(source: str | None) -> Page:
         tag = m[2] or m[5]
         if tag is None:
             text = m[0]
+            if stack[-1][0] == "head" and not text.isspace() and (text[0] != "<" or text == "<"):
+                stack.pop()
             if text[0] == "<" and text != "<":
                 if text.startswith("<![CDATA[") and not stack[-1][2]:
                     page.pieces.append((stack[-1][1], text[9:-3], stack[-1][3]))
@@ -124,6 +131,11 @@ def parse(source: str | None) -> Page:
                     break
             continue
         rest = m[3] if m[2] else m[6]
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            stack.pop()
+            node = stack[-1][1]
+        if tag in CONTROLS and not ((end := CONTROLS[tag].search(source, at)) and end[1]):
+            continue
         if tag in VOID:
             if tag in ("br", "hr"):
                 page.pieces.append((node, " ", False) if tag == "br" else (node, None, False))

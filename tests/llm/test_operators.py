@@ -384,6 +384,29 @@ def test_html_text(spark):
     assert html_text.fit(frame.filter("false")) is None
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><meta charset=u><body><p>One two</p><p>three</p></body></html>",
+        "<head><title>T</title><style>a{}</style><p>One two<p>three",
+        "<head><script>x</script>One two<div>three</div>",
+        "<head><template><div>no</div></template><noscript><p>no</p></noscript></head><p>One two</p><p>three</p>",
+        "<body><select><option>no</select><button><div>no</div></button><p>One two</p><p>three</p>",
+    ],
+)
+def test_a_page_without_optional_end_tags_is_read_whole(page):
+    parsed = html_text.parse(page)
+    batch = html_text.Batch([parsed])
+    assert batch.texts(np.ones(len(batch.parents), bool)) == ["One two three"]
+
+
+def test_unclosed_controls_do_not_silence_the_page():
+    for control in ("<button>", "<select><option>"):
+        page = f"<body>{control}Go<p>One two</p><p>three</p><button>no</button><select><option>no</select></body>"
+        batch = html_text.Batch([html_text.parse(page)])
+        assert batch.texts(np.ones(len(batch.parents), bool)) == ["Go One two three"]
+
+
 def test_nothing_below_a_dropped_node_is_kept():
     page = html_text.parse("<div><section><p>a</p><p>b</p></section><p>c</p></div>")
     batch = html_text.Batch([page])
