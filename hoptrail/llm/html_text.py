@@ -464,7 +464,7 @@ def _composed_labels(batch: Batch) -> np.ndarray:
 def _examples(source: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of a page's nodes (if it marks its article) and of three composed ones."""
     page = parse(source)
-    paragraphs = [" ".join(t.split())[:600] for _, t, link in page.pieces if t and len(t.split()) > 3 and not link]
+    paragraphs = [" ".join(t.split()) for _, t, link in page.pieces if t and len(t.split()) > 3 and not link]
     # The same page gives the same compositions, whichever task reads it.
     rng = random.Random(source)
     composed = [parse(compose(paragraphs, rng)) for _ in range(3)]

@@ -407,6 +407,14 @@ def test_unclosed_controls_do_not_silence_the_page():
         assert batch.texts(np.ones(len(batch.parents), bool)) == ["Go One two three"]
 
 
+def test_composed_pages_hold_whole_paragraphs(monkeypatch):
+    given, compose = [], html_text.compose
+    monkeypatch.setattr(html_text, "compose", lambda paragraphs, rng: given.append(paragraphs) or compose(paragraphs, rng))
+    long = "word " * 2000 + "end"
+    html_text._examples(f"<article><p>{long}</p><p>A short one of six words.</p></article>")
+    assert given == [[long, "A short one of six words."]] * 3
+
+
 def test_nothing_below_a_dropped_node_is_kept():
     page = html_text.parse("<div><section><p>a</p><p>b</p></section><p>c</p></div>")
     batch = html_text.Batch([page])
