@@ -13,7 +13,7 @@ MANY = settings(max_examples=8, deadline=None, suppress_health_check=list(Health
 SCHEMA = (
     "id_consumer string, event_timestamp timestamp, endpoint string, status_response int, "
     "time_transaction bigint, zona string, id_recurso string, id_transaccion string, "
-    "source_zone string, source_service string"
+    "consumer_type string, source_zone string, source_service string"
 )
 
 
@@ -206,6 +206,7 @@ def test_chain_hops(spark):
         zone, service = caller.split("/")
         return {
             "id_transaccion": "t", "zona": "z1", "id_recurso": f"{callee}-1",
+            "consumer_type": "external" if zone == "external" else "internal",
             "source_zone": zone, "source_service": service,
             "event_timestamp": moment, "time_transaction": duration,
         }
@@ -219,7 +220,7 @@ def test_chain_hops(spark):
     ]
     hops = chains.call_chain(make(spark, rows), "t").collect()
     assert [(r.hop, r.caller, r.callee) for r in hops] == [
-        (1, "external/user", "z1/orders-api"),
+        (1, "external", "z1/orders-api"),
         (2, "z1/orders-api", "z1/auth-api"),
         (3, "z1/orders-api", "z1/auth-api"),
         (4, "z1/auth-api", "z1/late-api"),
