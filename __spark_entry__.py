@@ -28,9 +28,8 @@ from hoptrail.streaming.hot import payload
 try:
     import corpus_pipeline
     import hoptrail.llm.queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "hoptrail.llm", "hoptrail.llm.queries"):
-        raise
+except ImportError:
+    # Without the folder, or without a library that only it needs, the rest still works.
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
