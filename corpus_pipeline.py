@@ -23,8 +23,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id")) | F.col("doc_id").isNull()))
     found = F.col("language")
+    # Not to be repeated below the filter, which would predict every text twice.
+    predict = langid.predictor(docs, model).asNondeterministic()
     return (
-        langid.predict(docs, model)
+        docs.withColumn("language", predict("text"))
         .filter(found["lang"] != langid.UNKNOWN)
         .withColumn("lang", F.coalesce("lang", found["lang"]))
         .drop("language")
