@@ -58,3 +58,36 @@ SELECT doc_id, leaf, subroot, node AS root, sha256(beside) AS proof_sha256, tamp
        folded = node AS verified
 FROM t{TOP}"""
     )
+
+
+def conversation_trie() -> str:
+    return f"""WITH marked AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, length(coalesce(text, '')) AS points,
+           left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS mark
+    FROM conversations WHERE conv_id IS NOT NULL)
+, own AS (
+    SELECT conv_id, list({{'mark': mark, 'points': points}} ORDER BY turn NULLS FIRST, role, mark) AS turns,
+           {crc32("conv_id")} % 6 AS h
+    FROM marked GROUP BY conv_id)
+, rebuilt AS (
+    SELECT o.conv_id, coalesce(f.turns[:o.h], []) || o.turns[o.h + 1:] AS turns
+    FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 100)
+, prefixes AS (
+    SELECT conv_id, depth, array_to_string(list_transform(turns[:depth], lambda t: t.mark), '') AS path,
+           CASE WHEN depth > 0 THEN turns[depth].points ELSE 0 END AS points, depth = len(turns) AS ends
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt))
+, nodes AS MATERIALIZED (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(points) AS points,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, depth)
+, children AS (
+    SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1)
+, subtrees AS (
+    SELECT left(path, 32 * unnest(range(depth + 1))) AS path, CAST(n IS NULL AS BIGINT) AS leaf, (n_convs - 1) * points AS saved
+    FROM nodes LEFT JOIN children USING (path))
+, totals AS (
+    SELECT path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM subtrees GROUP BY path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.path = n.path LEFT JOIN children c ON c.path = n.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, 32 * (n.depth - 1))"""
