@@ -277,15 +277,15 @@ class Trie:
         dealt_into = max(1, -(-flat.count() // shard))
         dealt = materialize(flat.repartitionByRange(dealt_into, *order).withColumn("range", F.spark_partition_id()))
         # The first path of every range but the first is a splitter.
-        firsts = dealt.groupBy("range").agg(F.min(F.struct(*order)).alias("at")).orderBy("range").select("range", "at.path").collect()[1:]
-        kept = thinned([r["path"] for r in firsts], skeleton)
-        self.skeleton = Skeleton([firsts[i]["path"] for i in kept])
+        least = dealt.groupBy("range").agg(F.min(F.struct(*order)).alias("at"))
+        ranges = least.orderBy("range").select("range", "at.path").collect()
+        kept = thinned([r["path"] for r in ranges[1:]], skeleton)
+        self.skeleton = Skeleton([ranges[i + 1]["path"] for i in kept])
         # Ranges between splitters that were left out are one shard.
-        starts = {firsts[i]["range"] for i in kept}
-        numbers, n = [], 0
-        for old in range(dealt_into):
-            n += old in starts
-            numbers.append((old, n))
+        starts, numbers, n = {ranges[i + 1]["range"] for i in kept}, [], 0
+        for r in ranges:
+            n += r["range"] in starts
+            numbers.append((r["range"], n))
         self.parts = n + 1
         numbered = self.spark.createDataFrame(numbers, "range int, shard int")
         self.paths = dealt.join(F.broadcast(numbered), "range").drop("range")
