@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptrail.llm import bpe, conversation_trie, decontaminate, html_text, langid, manifest, near_dedup, neighbours, secret_scan, sentence_spans, sql, toxicity, url_filter
+from hoptrail.llm import bpe, conversation_trie, decontaminate, html_text, langid, manifest, near_dedup, neighbours, quality, secret_scan, sentence_spans, sql, toxicity, url_filter
 from hoptrail.llm.common import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    docs = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return quality.judge(docs, quality.fit(docs.filter("NOT held_out"), labels)).drop("text")
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = materialize(conversation_trie.conversations(table(spark, sf_dir, "conversations")))
     return conversation_trie.Trie(conversation_trie.rebuilt(own)).nodes()
@@ -107,7 +113,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language, op9_toxicity, op10_html_text, op12_conversation_trie, op13_merkle_manifest)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_near_copies, op3_neighbours, op4_decontamination, op5_url_filter, op6_sentence_spans, op7_secrets, op8_language, op9_toxicity, op10_html_text, op11_quality, op12_conversation_trie, op13_merkle_manifest)}
 
 
 ORACLE_SQL: dict[str, str] = {
