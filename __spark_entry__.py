@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import CALLER_COLUMNS
 from hoptrail.functions.traces import date_key, url_path, url_query
-from hoptrail.operators import chains, dashboard, detect, graph, load, lookup, pricing
+from hoptrail.operators import chains, dashboard, detect, graph, load, lookup, panels, pricing
 from hoptrail.operators import sessions as visits
 from hoptrail.plans.filters import TraceFilter
 from hoptrail.plans.normalize import normalize_messages, split_unreadable
+from hoptrail.plans.rollup import partials
 from hoptrail.schema import TRACE_COLUMNS
 from hoptrail.session import configure
 from hoptrail.sources.events import as_traces
@@ -55,6 +56,10 @@ def _over_traces(operator: Callable[..., DataFrame], *args, **options) -> Query:
     return lambda spark, sf_dir: _rounded(operator(_traces(spark, sf_dir), *args, **options))
 
 
+def _over_rollup(panel: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf_dir: _rounded(panel(partials(_traces(spark, sf_dir))))
+
+
 # A dashboard selection: 15 days, two of the zones, three of the endpoints.
 SELECTION = TraceFilter(
     from_ts="2024-01-05T06:30:00",
@@ -124,6 +129,26 @@ def _edge_drift(traces: DataFrame) -> DataFrame:
     )
 
 
+# Declared calls of several kinds: met by the traces, far off, never seen, of an idle caller.
+DECLARED = [
+    ("zone1", "orders-api", "search-api", 0.5),
+    ("zone1", "orders-api", "catalog-api", 0.9),
+    ("zone2", "orders-api", "auth-api", 0.2),
+    ("zone2", "orders-api", "payments-api", 1.0),
+    ("zone3", "orders-api", "orders-api", 0.25),
+    ("zone3", "search-api", "auth-api", 0.1),
+]
+
+
+def _edge_drift_significance(traces: DataFrame) -> DataFrame:
+    declared = traces.sparkSession.createDataFrame(
+        DECLARED, "zone string, app string, target string, probability double"
+    )
+    return graph.edge_drift_significance(
+        declared, graph.service_calls(traces), graph.requests_per_service(traces)
+    )
+
+
 def _caller_fields(traces: DataFrame) -> DataFrame:
     consumer = F.col("id_consumer")
     return traces.groupBy(
@@ -179,6 +204,18 @@ def _chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains.call_chains(_user_day_traces(spark, sf_dir))
 
 
+def _call_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of a zone and day under one id; they nest, as each lasts a minute per millisecond."""
+    events = _table(spark, sf_dir, "events")
+    shared = F.concat((F.col("user_id") % 3).cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    longer = as_traces(events.withColumn("event_id", shared)).withColumn(
+        "time_transaction", F.col("time_transaction") * 60_000
+    )
+    return chains.call_tree(longer, segment_seconds=3600, cell_seconds=3600).select(
+        "id_transaccion", "hop", "caller", "callee", "parent_hop"
+    )
+
+
 def _catalogue(traces: DataFrame) -> DataFrame:
     return graph.service_catalogue(traces).withColumn("services", F.concat_ws(",", "services"))
 
@@ -274,6 +311,17 @@ def _engine_queries() -> dict[str, Query]:
         "cascades": _over_traces(_cascades),
         "rolling_stats": _over_traces(detect.rolling_stats),
         "call_chains": _chains,
+        "call_tree": _call_tree,
+        "ordered_funnel": _over_traces(visits.ordered_funnel),
+        "edge_drift_significance": _over_traces(_edge_drift_significance),
+        "rolled_volume_by_minute": _over_rollup(panels.volume_by_minute),
+        "rolled_latency_by_minute": _over_rollup(panels.latency_by_minute),
+        "rolled_service_edges": _over_rollup(lambda rows: panels.service_edges(rows).drop("id")),
+        "rolled_zone_matrix": _over_rollup(panels.zone_matrix),
+        # The percentiles of groups this large are within a bound, not exact.
+        "rolled_endpoint_summary": _over_rollup(
+            lambda rows: panels.endpoint_summary(rows).drop("Latencia p95", "Latencia p99")
+        ),
     }
 
 
@@ -669,6 +717,85 @@ def _engine_sql() -> dict[str, str]:
                    event_timestamp, caller,
                    node AS callee, endpoint, status_response, time_transaction
             FROM chained""",
+        "call_tree": """, chained AS (
+              SELECT *, user_id % 3 || '-' || strftime(event_timestamp, '%Y%m%d') AS txn,
+                     time_transaction * 60000 AS ms FROM traces),
+            hops AS (
+              SELECT txn, caller, node AS callee, event_timestamp AS start,
+                     event_timestamp + to_milliseconds(coalesce(ms, 0)) AS stop, coalesce(ms, 0) AS ms,
+                     row_number() OVER (PARTITION BY txn ORDER BY event_timestamp,
+                       time_transaction DESC, id_recurso, endpoint, caller,
+                       status_response NULLS LAST) AS hop
+              FROM chained)
+            SELECT h.txn AS id_transaccion, h.hop, h.caller, h.callee,
+                   arg_min(p.hop, (p.ms, -p.hop)) AS parent_hop
+            FROM hops h LEFT JOIN hops p ON p.txn = h.txn AND p.callee = h.caller
+              AND p.hop < h.hop AND p.start <= h.start AND p.stop >= h.stop
+            GROUP BY ALL""",
+        "ordered_funnel": f"""{SESSION_SQL}, stepped AS (
+              SELECT id_consumer, session, date_trunc('second', event_timestamp) AS t, endpoint,
+                     CASE WHEN starts_with(id_consumer, 'external/user-casual-') THEN 'casual'
+                          ELSE 'other' END AS kind
+              FROM numbered),
+            first_step AS (
+              SELECT id_consumer, session, any_value(kind) AS kind,
+                     count(*) FILTER (endpoint = '/catalog-api/products') AS b,
+                     count(*) FILTER (endpoint = '/orders-api/checkout') AS c,
+                     count(*) FILTER (endpoint = '/auth-api/validate') AS v,
+                     min(t) FILTER (endpoint = '/catalog-api/products') AS t1
+              FROM stepped GROUP BY 1, 2),
+            second_step AS (
+              SELECT f.*, (SELECT min(t) FROM stepped s WHERE s.id_consumer IS NOT DISTINCT FROM f.id_consumer
+                AND s.session = f.session AND s.endpoint = '/orders-api/checkout' AND s.t >= f.t1) AS t2
+              FROM first_step f),
+            visits AS (
+              SELECT f.*, (SELECT min(t) FROM stepped s WHERE s.id_consumer IS NOT DISTINCT FROM f.id_consumer
+                AND s.session = f.session AND s.endpoint = '/auth-api/validate' AND s.t >= f.t2) AS t3
+              FROM second_step f)
+            SELECT kind, count(*) AS sessions, count(t1) AS browsing_sessions,
+                   count(t2) AS checkout_sessions, count(t3) AS validating_sessions,
+                   CAST(sum(b) AS BIGINT) AS browsing_requests,
+                   CAST(sum(c) AS BIGINT) AS checkout_requests,
+                   CAST(sum(v) AS BIGINT) AS validating_requests,
+                   round(count(t2) / nullif(count(t1), 0), 6) AS browsing_to_checkout,
+                   round(count(t3) / nullif(count(t2), 0), 6) AS checkout_to_validating
+            FROM visits GROUP BY kind""",
+        "edge_drift_significance": f"""
+            , declared(source, target, probability) AS (VALUES {", ".join(
+                f"('{zone}/{app}', '{zone}/{target}', CAST({p} AS DOUBLE))" for zone, app, target, p in DECLARED)}),
+            seen AS (SELECT caller AS source, node AS target, count(*) AS requests
+                     FROM traces WHERE id_recurso <> '' AND caller <> 'external' GROUP BY 1, 2),
+            answered AS (SELECT node AS source, CAST(count(*) AS DOUBLE) AS n
+                         FROM traces WHERE id_recurso <> '' GROUP BY 1),
+            edges AS (
+              SELECT source, target, probability, coalesce(requests, 0) AS requests, n,
+                     CASE WHEN probability IS NULL THEN 'undeclared'
+                          WHEN requests IS NULL THEN 'missing' ELSE 'matched' END AS status,
+                     least(coalesce(requests, 0) / n, 1) AS share,
+                     least(coalesce(probability, 0), 1) AS p0, 1.959964 AS z
+              FROM declared FULL JOIN seen USING (source, target) LEFT JOIN answered USING (source)),
+            scored AS (
+              SELECT *, abs(share - p0) / nullif(sqrt(p0 * (1 - p0) / n), 0) AS far,
+                     1 / (1 + 0.2316419 * far) AS t
+              FROM edges),
+            tested AS (
+              SELECT *, CASE WHEN n IS NULL THEN NULL WHEN share = p0 THEN 1 WHEN p0 IN (0, 1) THEN 0
+                  ELSE least(1, 2 / sqrt(2 * pi()) * exp(-far * far / 2)
+                    * (0.319381530 * t - 0.356563782 * t ** 2 + 1.781477937 * t ** 3
+                       - 1.821255978 * t ** 4 + 1.330274429 * t ** 5)) END AS p_value
+              FROM scored),
+            limits AS (
+              SELECT max(p_value) AS most FROM tested a
+              WHERE p_value <= 0.05 * (SELECT count(*) FROM tested b WHERE b.p_value <= a.p_value)
+                                    / (SELECT count(p_value) FROM tested))
+            SELECT source, target, status, round(probability, 6) AS probability, requests,
+                   round(requests / n, 6) AS observed_share,
+                   CASE WHEN n > 0 THEN round(greatest((share + z * z / 2 / n - z * sqrt(share * (1 - share) / n + z * z / 4 / n / n))
+                                  / (1 + z * z / n), 0), 6) END AS share_low,
+                   CASE WHEN n > 0 THEN round(least((share + z * z / 2 / n + z * sqrt(share * (1 - share) / n + z * z / 4 / n / n))
+                               / (1 + z * z / n), 1), 6) END AS share_high,
+                   round(p_value, 6) AS p_value, coalesce(p_value <= most, false) AS drifted
+            FROM tested, limits""",
         "rolling_stats": """
             SELECT time_bucket(INTERVAL 30 SECOND, event_timestamp) AS window_start,
                    count(*) AS requests,
@@ -685,6 +812,13 @@ def _engine_sql() -> dict[str, str]:
                      AS pct_err
             FROM traces GROUP BY 1""",
     }
+    over_traces |= {
+        f"rolled_{name}": over_traces[name]
+        for name in ("volume_by_minute", "latency_by_minute", "service_edges", "zone_matrix")
+    }
+    over_traces["rolled_endpoint_summary"] = (
+        f'SELECT * EXCLUDE ("Latencia p95", "Latencia p99") FROM ({over_traces["endpoint_summary"]})'
+    )
     over_traces |= {
         f"selected_{name}": _selected(over_traces[name], by_endpoint)
         for name, by_endpoint in SELECTED.items()

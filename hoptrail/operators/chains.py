@@ -1,4 +1,4 @@
-"""Call chains: the hops of a transaction in order, caller to callee."""
+"""Call chains and call trees: the hops of a transaction in order, caller to callee, and under what."""
 
 from __future__ import annotations
 
@@ -72,3 +72,41 @@ def call_chains(
 def call_chain(traces: DataFrame, id_transaccion: str) -> DataFrame:
     """The chain of one transaction, in order."""
     return call_chains(traces.where(F.col("id_transaccion") == id_transaccion)).orderBy("hop")
+
+
+def call_tree(
+    traces: DataFrame, flt: TraceFilter = EVERYTHING, segment_seconds: int = 10, cell_seconds: int = 1
+) -> DataFrame:
+    """The hops of `call_chains` with the number of their parent, null for a root.
+
+    The parent of a hop is the narrowest hop before it in the chain that encloses it in time and
+    whose callee is its caller; of equally narrow ones the last. A hop without a duration ends when
+    it starts; one without a time has no parent and is none.
+
+    Intervals meet by time cell: a hop looks for its parent in the cell it starts in, and stands as
+    a possible parent in each cell it lasts in, once per `cell_seconds` of its duration. So a
+    transaction id reused by much of the traffic is spread over (service, cell), and a cell
+    compares just what one service did for one transaction in it.
+    """
+    hops = call_chains(traces, flt, segment_seconds)
+    width = cell_seconds * 1_000_000
+    start = F.unix_micros("event_timestamp")
+    end = start + F.coalesce("time_transaction", F.lit(0)) * 1000
+    timed = hops.withColumns({"_start": start, "_end": end, "_cell": F.floor(start / F.lit(width))})
+    last = F.greatest(F.floor(F.col("_end") / F.lit(width)), F.col("_cell"))
+    parents = timed.where("_start IS NOT NULL AND callee IS NOT NULL").select(
+        "id_transaccion",
+        F.col("callee").alias("caller"),
+        F.explode(F.sequence("_cell", last)).alias("_cell"),
+        F.col("_end").alias("_until"),
+        F.struct((F.col("_end") - F.col("_start")).alias("length"), (-F.col("hop")).alias("hop")).alias("_parent"),
+    )
+    # A parent comes before its children in the chain, so it starts no later.
+    encloses = (-F.col("p._parent.hop") < F.col("h.hop")) & (F.col("_until") >= F.col("_end"))
+    keys = ["id_transaccion", "caller", "_cell"]
+    met = timed.alias("h").join(
+        parents.alias("p"), [F.col(f"h.{k}") == F.col(f"p.{k}") for k in keys] + [encloses], "left"
+    )
+    return met.groupBy(*[F.col(f"h.{name}") for name in hops.columns]).agg(
+        (-F.min("p._parent")["hop"]).alias("parent_hop")
+    )

@@ -105,6 +105,11 @@ def endpoint_summary(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFr
             **{f"{name}_n": F.count(size) for name, size in sizes.items()},
         },
     )
+    return summary_columns(profile)
+
+
+def summary_columns(profile: DataFrame) -> DataFrame:
+    """The summary's columns and order, from totals per zone and endpoint."""
     return profile.select(
         F.col("zona").alias("Zona"),
         F.col("endpoint").alias("API / Endpoint"),

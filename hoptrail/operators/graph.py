@@ -5,7 +5,9 @@ These views follow the zone choice of a filter, not its endpoint choice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail.functions.callers import EXTERNAL, UNKNOWN
@@ -46,6 +48,11 @@ def service_nodes(
         caller_columns(),
         {"requests": F.count(F.lit(1)), "named": F.count_if(named)},
     )
+    return ends_of(pairs, merge)
+
+
+def ends_of(pairs: DataFrame, merge: bool) -> DataFrame:
+    """Counted pairs of caller and service taken apart into nodes."""
     ends = pairs.select(
         F.explode(
             F.array(
@@ -98,13 +105,16 @@ def service_calls(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame
 
 def service_edges(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
     """Graph edges with a running id; both figures as text for the panel."""
-    edges = service_calls(traces, flt).select(
+    return number_rows(edge_columns(service_calls(traces, flt)), ["source", "target"])
+
+
+def edge_columns(calls: DataFrame) -> DataFrame:
+    return calls.select(
         "source",
         "target",
         F.col("requests").cast("string").alias("mainstat"),
         F.round("mean_latency", 0).cast("string").alias("secondarystat"),
     )
-    return number_rows(edges, ["source", "target"])
 
 
 def zone_matrix(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
@@ -114,7 +124,7 @@ def zone_matrix(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
     `external` zone stay separate rows although they share one label.
     """
     total = F.count(F.lit(1))
-    return (
+    return matrix_columns(
         flt.apply(traces, by_endpoint=False)
         .groupBy("source_zone", "zona")
         .agg(
@@ -124,7 +134,12 @@ def zone_matrix(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> DataFrame:
             F.round(percent(F.count_if(is_5xx()), total), 2).alias("error_rate_pct"),
             F.round(percent(F.count_if(is_2xx()), total), 2).alias("success_rate_pct"),
         )
-        .select(
+    )
+
+
+def matrix_columns(totals: DataFrame) -> DataFrame:
+    return (
+        totals.select(
             F.coalesce(F.nullif("source_zone", F.lit("")), F.lit(EXTERNAL)).alias("origen"),
             F.col("zona").alias("destino"),
             "total_requests",
@@ -143,6 +158,10 @@ def service_error_ranking(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> D
         [],
         {"total": F.count(F.lit(1)), "failures": F.count_if(is_5xx())},
     )
+    return ranking_columns(totals)
+
+
+def ranking_columns(totals: DataFrame) -> DataFrame:
     return totals.select(
         node().alias("servicio"),
         F.round(percent(F.col("failures"), F.col("total")), 2).alias("error_rate_pct"),
@@ -169,6 +188,10 @@ def edge_drift(declared: DataFrame, calls: DataFrame, traces_per_service: DataFr
     `matched`; `observed_share` is calls per request the caller answered, to be
     read against the declared `probability`.
     """
+    return _drift(declared, calls, traces_per_service).drop("served")
+
+
+def _drift(declared: DataFrame, calls: DataFrame, traces_per_service: DataFrame) -> DataFrame:
     wanted = (
         declared.where("target IS NOT NULL")
         .select(
@@ -196,6 +219,7 @@ def edge_drift(declared: DataFrame, calls: DataFrame, traces_per_service: DataFr
             F.try_divide(F.coalesce("requests", F.lit(0)).cast("double"), "served").alias(
                 "observed_share"
             ),
+            "served",
         )
     )
 
@@ -206,3 +230,68 @@ def requests_per_service(traces: DataFrame, flt: TraceFilter = EVERYTHING) -> Da
         flt.apply(traces, by_endpoint=False), [], {"served": F.count(F.lit(1))}
     )
     return totals.where("service IS NOT NULL").select(node().alias("node"), "served")
+
+
+# Coefficients of the rational approximation of the normal tail by Abramowitz and
+# Stegun (26.2.17), off by less than 7.5e-8.
+_TAIL_SCALE = 0.2316419
+_TAIL = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+
+
+def _two_sided(z: Column) -> Column:
+    """Chance that a normal value is as far from 0 as `z`."""
+    far = F.abs(z)
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(_TAIL_SCALE) * far)
+    sum_ = F.lit(0.0)
+    for c in reversed(_TAIL):
+        sum_ = (sum_ + F.lit(c)) * t
+    return F.least(F.lit(1.0), F.lit(2.0 / math.sqrt(2 * math.pi)) * F.exp(-far * far / 2) * sum_)
+
+
+def edge_drift_significance(
+    declared: DataFrame,
+    calls: DataFrame,
+    traces_per_service: DataFrame,
+    z: float = 1.959964,
+    rate: float = 0.05,
+) -> DataFrame:
+    """`edge_drift` with what chance alone explains.
+
+    `share_low` and `share_high` are the Wilson score interval of the observed share (95 % by
+    default), `p_value` is that of the score test against the declared probability, and `drifted`
+    marks the edges whose share differs, at a false-discovery rate of at most `rate` over all
+    edges (Benjamini and Hochberg). An edge whose caller answered nothing is not tested. Calls
+    beyond one per request count as one, a probability above 1 as 1. An undeclared edge has
+    probability 0; there, and at 1, any other share has the p-value 0.
+
+    Edges are pairs of services, so they are few, and are ranked by p-value in one task.
+    """
+    n = F.col("served").cast("double")
+    share = F.least(F.col("requests") / n, F.lit(1.0))
+    expected = F.least(F.coalesce("probability", F.lit(0.0)), F.lit(1.0))
+    shrunk = F.lit(1.0) + F.lit(z * z) / n
+    middle = (share + F.lit(z * z / 2) / n) / shrunk
+    half = F.lit(z) / shrunk * F.sqrt(share * (F.lit(1.0) - share) / n + F.lit(z * z / 4) / (n * n))
+    error = F.sqrt(expected * (F.lit(1.0) - expected) / n)
+    p_value = (
+        F.when(share == expected, 1.0)
+        .when((expected <= 0) | (expected >= 1), 0.0)
+        .otherwise(_two_sided((share - expected) / error))
+    )
+    tested = _drift(declared, calls, traces_per_service).withColumns(
+        {
+            name: F.when(n > 0, value)
+            for name, value in {
+                "share_low": F.greatest(middle - half, F.lit(0.0)),
+                "share_high": F.least(middle + half, F.lit(1.0)),
+                "p_value": p_value,
+            }.items()
+        }
+    )
+    everything = Window.partitionBy(F.lit(0))
+    upto = everything.orderBy(F.asc_nulls_last("p_value")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    allowed = F.lit(rate) * F.count("p_value").over(upto) / F.count("p_value").over(everything)
+    # The greatest p-value that keeps the rate takes all lesser ones along.
+    kept = tested.withColumn("_kept", F.when(F.col("p_value") <= allowed, F.col("p_value")))
+    limit = F.max("_kept").over(everything)
+    return kept.withColumn("drifted", F.coalesce(F.col("p_value") <= limit, F.lit(False))).drop("_kept", "served")

@@ -86,3 +86,17 @@ class TraceFilter:
 
 
 EVERYTHING = TraceFilter()
+
+
+def whole_minutes(flt: TraceFilter) -> TraceFilter:
+    """The filter, if it begins with a minute and ends with one (its last microsecond).
+
+    Any other is refused: totals per minute can't tell which of their traces it takes.
+    """
+    if flt.from_ts is not None and _utc(flt.from_ts) != _utc(flt.from_ts).replace(second=0, microsecond=0):
+        raise ValueError("the selection must begin with a minute")
+    if flt.to_ts is not None:
+        after = _utc(flt.to_ts) + timedelta(microseconds=1)
+        if after != after.replace(second=0, microsecond=0):
+            raise ValueError("the selection must end with the last microsecond of a minute")
+    return flt

@@ -252,3 +252,137 @@ def test_chain_numbers_against_brute_force(spark, hits):
 def test_service_catalogue(spark):
     rows = [{"zona": "z1", "id_recurso": r} for r in ("b-api-1", "a-api-1", "a-api-2", "X", None)]
     assert graph.service_catalogue(make(spark, rows)).collect() == [("z1", ["a-api", "b-api"])]
+
+
+def test_funnel_steps_must_follow_each_other(spark):
+    b, c, v = sessions.FUNNEL_STEPS.values()
+    visits = {
+        "external/user-casual-a": [(0, v), (1, b), (2, c)],
+        "external/user-casual-b": [(0, c), (1, b), (2, v)],
+        "external/user-casual-c": [(0, b), (5, v), (9, c), (1700, v)],
+        # Across time cells, and within one second.
+        "external/user-power-d": [(0, b), (1795, b), (3590, c), (5300, v)],
+        "external/user-power-e": [(7, v), (7, c), (7, b)],
+        "user-power-f": [(0, b), (2000, c), (2001, v)],
+    }
+    rows = [
+        {"id_consumer": person, "endpoint": url, "event_timestamp": after(seconds=s)}
+        for person, path in visits.items()
+        for s, url in path
+    ]
+    df = make(spark, rows)
+    got = {r.kind: r for r in sessions.ordered_funnel(df).collect()}
+    casual, power = got["casual"], got["power"]
+    assert (casual.sessions, casual.browsing_sessions, casual.checkout_sessions, casual.validating_sessions) == (3, 3, 2, 1)
+    # The pause of f splits its visit: one session browses, the other doesn't begin at the beginning.
+    assert (power.sessions, power.browsing_sessions, power.checkout_sessions, power.validating_sessions) == (4, 3, 2, 2)
+    assert (casual.checkout_requests, casual.checkout_to_validating) == (3, 0.5)
+    anyhow = {r.kind: r for r in sessions.funnel(df).collect()}
+    assert anyhow["casual"].validating_sessions == 3
+
+
+@MANY
+@given(st.lists(st.tuples(st.sampled_from(["a", "z"]), st.integers(0, 40), st.integers(0, 3)), min_size=1, max_size=60))
+def test_ordered_funnel_against_brute_force(spark, hits):
+    urls = [*sessions.FUNNEL_STEPS.values(), "/else"]
+    df = make(spark, [{"id_consumer": c, "event_timestamp": after(seconds=s), "endpoint": urls[u]} for c, s, u in hits])
+    expected = [0, 0, 0, 0]
+    for person in {c for c, _, _ in hits}:
+        visit = sorted((s, u) for c, s, u in hits if c == person)
+        cuts = [0, *[i for i in range(1, len(visit)) if visit[i][0] - visit[i - 1][0] > 5], len(visit)]
+        for first, end in zip(cuts, cuts[1:]):
+            expected[0] += 1
+            state = 0
+            for _, u in visit[first:end]:
+                if u == state and state < 3:
+                    state += 1
+                    expected[state] += 1
+    row = sessions.ordered_funnel(df, gap_seconds=5).first()
+    assert [row.sessions, row.browsing_sessions, row.checkout_sessions, row.validating_sessions] == expected
+
+
+SERVICES = ["a-api", "b-api", "c-api"]
+
+
+@MANY
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("ht"), st.sampled_from(SERVICES), st.sampled_from(SERVICES), st.integers(0, 30), st.sampled_from([None, 0, 900, 3000, 9000, 40000])),
+        min_size=1, max_size=40,
+    ),
+    st.sampled_from([1, 7]),
+)
+def test_call_tree_against_brute_force(spark, calls, cell):
+    rows = [
+        {
+            "id_transaccion": t, "zona": "z", "id_recurso": f"{callee}-1", "consumer_type": "internal", "source_zone": "z",
+            "source_service": caller, "event_timestamp": after(seconds=s), "time_transaction": ms, "endpoint": str(i),
+        }
+        for i, (t, caller, callee, s, ms) in enumerate(calls)
+    ]
+    tree = chains.call_tree(make(spark, rows), cell_seconds=cell).collect()
+    assert sorted((r.id_transaccion, r.hop) for r in tree) == sorted(
+        (r.id_transaccion, r.hop) for r in chains.call_chains(make(spark, rows)).collect()
+    )
+    for r in tree:
+        end = lambda x: x.event_timestamp + timedelta(milliseconds=x.time_transaction or 0)
+        around = [
+            ((p.time_transaction or 0), -p.hop)
+            for p in tree
+            if p.id_transaccion == r.id_transaccion and p.hop < r.hop and p.callee == r.caller and end(p) >= end(r)
+        ]
+        assert r.parent_hop == (-min(around)[1] if around else None)
+
+
+def test_call_tree_of_hops_without_time_or_caller(spark):
+    base = {"id_transaccion": "t", "zona": "z", "consumer_type": "internal", "source_zone": "z", "source_service": "a-api"}
+    rows = [
+        {**base, "id_recurso": "a-api-1", "consumer_type": "external", "event_timestamp": after(seconds=1), "time_transaction": 100_000},
+        {**base, "id_recurso": "b-api-1", "event_timestamp": after(seconds=2)},
+        {**base, "id_recurso": "c-api-1"},
+        {**base, "id_recurso": "X", "event_timestamp": after(seconds=3)},
+    ]
+    got = {r.callee: r.parent_hop for r in chains.call_tree(make(spark, rows)).collect()}
+    assert got == {"z/a-api": None, "z/b-api": 1, "z/c-api": None, None: 1}
+
+
+def test_one_hot_transaction_is_spread_over_cells(spark):
+    rows = [
+        {"id_transaccion": "hot", "zona": "z", "id_recurso": "a-api-1", "consumer_type": "internal", "source_zone": "z", "source_service": "a-api",
+         "event_timestamp": after(seconds=i), "time_transaction": 500}
+        for i in range(300)
+    ]
+    df = make(spark, rows)
+    assert chains.call_tree(df).where("parent_hop IS NOT NULL").count() == 0
+    plan = chains.call_tree(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cell" in plan.split("Join LeftOuter")[1].split("\n")[0]
+
+
+def test_edge_significance_against_plain_formulas(spark):
+    import math
+
+    edges = [("a", 0.5, 48, 100), ("b", 0.5, 20, 100), ("c", 0.1, 0, 40), ("d", 1.0, 90, 100), ("e", None, 1, 50), ("f", 0.3, 500, 100), ("g", 0.2, 8, 100), ("h", 0.2, 0, None), ("i", 0.4, 55, 100), ("j", 0.0, 0, 9)]
+    declared = spark.createDataFrame([("z", f"s{n}-api", "t-api", p) for n, p, _, _ in edges if p is not None], "zone string, app string, target string, probability double")
+    calls = spark.createDataFrame([(f"z/s{n}-api", "z/t-api", k) for n, _, k, _ in edges if k], "source string, target string, requests long")
+    served = spark.createDataFrame([(f"z/s{n}-api", m) for n, _, _, m in edges if m], "node string, served long")
+    got = {r.source[3]: r for r in graph.edge_drift_significance(declared, calls, served).collect()}
+    p_values = {}
+    for name, p, k, n in edges:
+        r = got[name]
+        if not n:
+            assert r.p_value is None and r.share_low is None and not r.drifted
+            continue
+        share, p, z = min(k / n, 1), min(p or 0, 1), 1.959964
+        roots = [(share + z * z / 2 / n + sign * z * math.sqrt(share * (1 - share) / n + (z / 2 / n) ** 2)) / (1 + z * z / n) for sign in (-1, 1)]
+        assert [r.share_low, r.share_high] == pytest.approx([max(0, roots[0]), min(1, roots[1])])
+        if share == p:
+            p_values[name] = 1.0
+        elif p in (0, 1):
+            p_values[name] = 0.0
+        else:
+            p_values[name] = math.erfc(abs(share - p) / math.sqrt(p * (1 - p) / n) / math.sqrt(2))
+        assert r.p_value == pytest.approx(p_values[name], abs=2e-7)
+    ranked = sorted(p_values, key=p_values.get)
+    most = max(i for i, name in enumerate(ranked, 1) if p_values[name] <= 0.05 * i / len(ranked))
+    assert {n for n in got if got[n].drifted} == set(ranked[:most])
+    assert 0 < most < len(ranked)
