@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from hoptrail.functions.callers import NO_CALLER
+from hoptrail.functions.traces import present
 from hoptrail.plans.normalize import normalize_messages
-from hoptrail.schema import PARTITION_COLUMNS
+from hoptrail.schema import PARTITION_COLUMNS, RECORD_COLUMNS
 from hoptrail.sources.files import exists, read_text, write_text
 from hoptrail.sources.lake import SINK_LOG
 from hoptrail.streaming.hot import start_hot
@@ -74,6 +76,24 @@ def start_landing(
     return query
 
 
+def without_resent(traces: DataFrame, within: str = "1 hour") -> DataFrame:
+    """A stream of traces without those sent again.
+
+    Shippers and brokers deliver at least once. A trace is dropped if one with the same
+    transaction, caller, callee, time and all else that the record holds arrived up to `within`
+    before, also across restarts. State is a digest per trace, kept for `within` after arrival;
+    the watermark follows arrival, so a trace is never dropped for being late. A trace without a
+    transaction id can't be told from another like it: all of those stay, and so do unreadable
+    messages.
+    """
+    known = present("id_transaccion") & (F.col("id_transaccion") != NO_CALLER)
+    marked = traces.where(known).withColumns(
+        {"_arrived": F.current_timestamp(), "_mark": F.md5(F.to_json(F.struct(*RECORD_COLUMNS)))}
+    )
+    once = marked.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_mark"])
+    return once.drop("_arrived", "_mark").unionByName(traces.where(~known))
+
+
 def start_ingest(
     messages: DataFrame,
     zone: str,
@@ -81,12 +101,16 @@ def start_ingest(
     hot: str,
     checkpoints: str,
     trigger: dict | None = None,
+    resent_within: str | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both queries over a stream of messages with a `value` column.
 
-    Zones may share `landing` and `hot`: each has a root of its own in them.
+    Zones may share `landing` and `hot`: each has a root of its own in them. With
+    `resent_within` each drops messages sent again in that time.
     """
     traces = normalize_messages(messages, zone)
+    if resent_within:
+        traces = without_resent(traces, resent_within)
     return (
         start_landing(traces, f"{landing}/{zone}", f"{checkpoints}/landing", trigger),
         start_hot(traces, hot, f"{checkpoints}/hot", trigger, zone=zone),

@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,7 +12,8 @@ from hoptrail.sources.events import as_traces
 from hoptrail.sources.kafka import kafka_options
 from hoptrail.sources.tables import read_traces
 from hoptrail.streaming import hot, insight
-from hoptrail.streaming.ingest import start_ingest, start_landing
+from hoptrail.streaming.ingest import start_ingest, start_landing, without_resent
+from hoptrail.streaming.progress import ProgressTable, read_progress
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 ONCE = {"availableNow": True}
@@ -190,3 +192,124 @@ def test_a_pause_of_exactly_the_gap_keeps_the_session(spark):
     assert [r.requests for r in got] == [2, 1] == [
         r["count"] for r in builtin.orderBy("session_window").collect()
     ]
+
+
+def test_messages_sent_again_land_once(spark, tmp_path):
+    """A shipper replays its last messages after a restart, and the query restarts in between."""
+    source, landing, slots, ck = (str(tmp_path / n) for n in ("in", "landing", "hot", "ck"))
+
+    def run():
+        stream = spark.readStream.text(source)
+        for query in start_ingest(stream, "zone1", landing, slots, ck, ONCE, resent_within="1 hour"):
+            query.awaitTermination()
+
+    lines(spark, source, range(100))
+    lines(spark, source, range(90, 110))
+    run()
+    # However late its time: what decides is when it arrives.
+    lines(spark, source, range(50, 130))
+    lines(spark, source, [7], at="2020-01-01T10:00:00+0000")
+    lines(spark, source, ["-", "-", "-"])
+    spark.createDataFrame([("garbage",), ("garbage",)], "value string").write.mode("append").text(source)
+    run()
+    run()
+    landed = read_traces(spark, f"{landing}/zone1")
+    counts = {r.id_transaccion: r["count"] for r in landed.groupBy("id_transaccion").count().collect()}
+    assert counts == {str(n): 1 for n in range(130)} | {"7": 2, "-": 3, None: 2}
+    assert hot.read_recent(spark, slots).count() == landed.count()
+
+
+def test_flood_stream_equals_batch(spark, closed, tmp_path):
+    stream, traces = closed
+    wanted = dict(window_seconds=3600 * 6, trailing=3, min_requests=2, factor=1.5)
+    found = detect.floods(traces, **wanted)
+    assert found.where("trailing_mean > 0").count() > 0
+    assert same(drain(insight.flood_stream(stream, **wanted), tmp_path), found)
+
+
+def test_idle_windows_count_in_the_stream(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    rows = [(t + timedelta(minutes=m), "z", "/", "c") for m in (0, 3, 3)] + [(t + timedelta(days=1), "z", "/", "late")]
+    schema = "event_timestamp timestamp, zona string, endpoint string, id_consumer string"
+    source = str(tmp_path / "in")
+    spark.createDataFrame(rows, schema).write.parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    out = drain(insight.flood_stream(stream, trailing=4, min_requests=1, factor=0.0), tmp_path)
+    means = {r.window_start.minute: (r.requests, r.trailing_mean) for r in out.where("id_consumer = 'c'").collect()}
+    assert means == {0: (1, 0.0), 3: (2, 0.25)}
+
+
+def test_cascade_stream_equals_batch(spark, closed, tmp_path):
+    # All of six hours in one minute, so that callers and callees meet.
+    hour = (F.floor(F.unix_seconds("event_timestamp") / 21600) * 21600).alias("event_timestamp")
+    stream, traces = (df.withColumn("event_timestamp", F.timestamp_seconds(hour)) for df in closed)
+    edges = spark.createDataFrame(
+        [("zone1/payments-api", "zone1/catalog-api"), ("zone1/catalog-api", "zone2/auth-api"), ("zone2/catalog-api", "none/none-api")] * 2,
+        "source string, target string",
+    )
+    found = detect.cascades(traces, edges)
+    assert found.where("callee_requests > 0").count() > 0 and found.where("callee IS NULL").count() > 0
+    assert same(drain(insight.cascade_stream(stream, edges), tmp_path), found)
+
+
+def test_state_of_cascades_stays_bounded(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    source = str(tmp_path / "in")
+    schema = "event_timestamp timestamp, zona string, id_recurso string, status_response int"
+    services = [("z", f"{name}-api-1") for name in ("a", "b", "c")]
+    for part in range(10):
+        rows = [
+            (t + timedelta(minutes=10 * part + m, seconds=s), *service, 500 if (m + s) % 3 else 200)
+            for m in range(10) for s in (0, 20, 40) for service in services
+        ]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    edges = spark.createDataFrame([("z/a-api", "z/b-api"), ("z/b-api", "z/c-api")], "source string, target string")
+    query = (
+        insight.cascade_stream(stream, edges).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    totals = [sum(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress]
+    assert len(totals) >= 10
+    # Two minutes are open at most, besides the ten of a batch, on two sides of two steps.
+    assert max(totals) <= 4 * 12 * len(services)
+    assert spark.read.parquet(str(tmp_path / "out")).select("minute").distinct().count() >= 97
+
+
+def wait_for(ready):
+    for _ in range(100):
+        if ready():
+            return
+        time.sleep(0.1)
+    raise AssertionError("it did not happen")
+
+
+def test_progress_table_equals_what_landed(spark, tmp_path):
+    source, out, folder = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    assert read_progress(spark, folder).count() == 0
+    listener = ProgressTable(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        for numbers in (range(10), range(10, 25)):
+            lines(spark, source, numbers)
+            spark.createDataFrame([("garbage",)], "value string").write.mode("append").text(source)
+            traces = normalize_messages(spark.readStream.text(source), "zone1")
+            start_landing(without_resent(traces), out, str(tmp_path / "ck"), ONCE).awaitTermination()
+        wait_for(lambda: read_progress(spark, folder).where("rows > 0").count() == 2)
+        # A folder that can't be written to: the stream goes on.
+        listener.folder = f"{source}/_nowhere"
+        (tmp_path / "in" / "_nowhere").write_text("a file")
+        lines(spark, source, range(25, 30))
+        traces = normalize_messages(spark.readStream.text(source), "zone1")
+        start_landing(without_resent(traces), out, str(tmp_path / "ck"), ONCE).awaitTermination()
+        wait_for(lambda: listener.failures > 0)
+    finally:
+        spark.streams.removeListener(listener)
+    landed = read_traces(spark, out)
+    assert landed.count() == 32
+    table = read_progress(spark, folder)
+    total = table.agg(F.sum("rows"), F.sum("unreadable"), F.max("state_rows"), F.countDistinct("query")).first()
+    assert tuple(total) == (27, 2, 25, 1)
+    assert table.where("rows > 0").count() == table.where("rows > 0").select("batch_id").distinct().count()
+    assert table.where("watermark_lag_seconds < 0 OR dropped_late > 0 OR day IS NULL").count() == 0
