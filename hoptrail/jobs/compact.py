@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptrail.operators.upkeep import Selection, compact
@@ -39,11 +39,16 @@ def main() -> None:
     options = parse()
     spark = configure(SparkSession.builder.appName("compact").getOrCreate())
     report = compact(spark, options.landing, options.history, selection(options))
-    report.groupBy("action").agg(
+    summary(report).show(truncate=False)
+
+
+def summary(report: DataFrame) -> DataFrame:
+    return report.groupBy("action").agg(
         F.count(F.lit(1)).alias("partitions"),
-        F.sum("files_removed").alias("files_removed"),
+        F.sum("files_before").alias("files_before"),
+        F.sum("files_after").alias("files_after"),
         F.sum("rows").alias("rows"),
-    ).show(truncate=False)
+    )
 
 
 if __name__ == "__main__":

@@ -69,11 +69,15 @@ def run_select(spark: SparkSession, sql: str, args: dict | list | None = None) -
 
     The text is placed as a subquery, where Spark's grammar admits queries only. What the
     analysed query consists of decides whether it runs: no scripts, no calls into the JVM
-    and no commands, however they are spelled.
+    and no commands, however they are spelled. Only tables of the catalog and views are read,
+    not files by their path.
     """
     if not _READS.match(sql):
         raise ValueError("only SELECT queries are allowed")
-    found = spark.sql(f"SELECT * FROM (\n{sql}\n)", args=args)
+    # A copy of the session, with its views, in which a path is no table.
+    copy = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    copy.conf.set("spark.sql.runSQLOnFiles", "false")
+    found = copy.sql(f"SELECT * FROM (\n{sql}\n)", args=args)
     command = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
     for node in _nodes(found._jdf.queryExecution().analyzed()):
         if node.getClass().getSimpleName() in _ESCAPES or command.isInstance(node):

@@ -10,22 +10,25 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL
 from hoptrail.session import configure
-from hoptrail.sources.files import delete, exists, list_names
+from hoptrail.sources.files import delete, exists, list_names, modified
+from hoptrail.sources.ids import write_ids
 from hoptrail.sources.lake import (
     PROMOTION_DDL,
     PROMOTIONS,
     Key,
     Landed,
-    Record,
-    counted,
     folder_of,
+    in_hours,
+    key_of,
     landed_files,
-    landing_roots,
+    last_versions,
     read_files,
     read_record,
     read_versions,
@@ -67,30 +70,39 @@ class Selection:
         return None
 
 
-PLAN_DDL = f"{PARTITION_DDL}, files bigint, new_files bigint, action string"
+def _same_partition(a: str, b: str) -> Column:
+    """Join condition; partitions without a time are partitions too."""
+    return reduce(Column.__and__, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in PARTITION_COLUMNS])
 
 
 def _due(
-    spark: SparkSession, landing: str, history: str, selection: Selection, now: datetime
-) -> tuple[dict[Key, list[Landed]], dict[Key, list[Landed]], Record]:
-    """Per chosen partition its landing files and the new ones among them; the record so far."""
-    record = read_record(spark, history)
+    spark: SparkSession, landing: str, record: DataFrame, selection: Selection, now: datetime
+) -> DataFrame:
+    """Landing files of the chosen partitions: root, file, partition, and whether they are `new`."""
     hours = selection.hours(now)
-    wanted = None if hours is None else {(h.year, h.month, h.day, h.hour) for h in hours}
     this = now.astimezone(timezone.utc)
-    current = (this.year, this.month, this.day, this.hour)
-    files: dict[Key, list[Landed]] = {}
-    new: dict[Key, list[Landed]] = {}
-    for f in landed_files(spark, landing, hours):
-        key, fresh = f.key, f.file not in record.files
-        chosen = wanted is None or key[1:] in wanted
-        late = key in record.runs and fresh
-        if key[1] is not None and key[1:] >= current or not (chosen or late):
-            continue
-        files.setdefault(key, []).append(f)
-        if fresh:
-            new.setdefault(key, []).append(f)
-    return files, new, record
+    current = F.struct(*(F.lit(v) for v in (this.year, this.month, this.day, this.hour)))
+    taken = record.where("file IS NOT NULL").select("file").distinct().withColumn("taken", F.lit(True))
+    known = last_versions(record).withColumn("known", F.lit(True))
+    marked = (
+        landed_files(spark, landing, hours)
+        .join(taken, "file", "left")
+        .alias("l")
+        .join(known.alias("k"), _same_partition("l", "k"), "left")
+        .select("l.*", F.col("taken").isNull().alias("new"), F.col("known").isNotNull().alias("promoted"))
+    )
+    over = F.col("year").isNull() | (F.struct("year", "month", "day", "hour") < current)
+    late = F.col("promoted") & F.col("new")
+    return marked.where(over & (in_hours(hours) | late)).select("root", "file", *PARTITION_COLUMNS, "new")
+
+
+def _plan(due: DataFrame) -> DataFrame:
+    fresh = F.count_if("new")
+    return due.groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("files"),
+        fresh.alias("new_files"),
+        F.when(fresh > 0, "compact").otherwise("up_to_date").alias("action"),
+    )
 
 
 def plan_compaction(
@@ -101,12 +113,8 @@ def plan_compaction(
     now: datetime | None = None,
 ) -> DataFrame:
     """Selected partitions: `compact` if there are files in no version yet, else `up_to_date`."""
-    files, new, _ = _due(spark, landing, history, selection, now or datetime.now(timezone.utc))
-    rows = [
-        (*key, len(found), len(new.get(key, [])), "compact" if key in new else "up_to_date")
-        for key, found in files.items()
-    ]
-    return spark.createDataFrame(rows, PLAN_DDL)
+    record = read_record(spark, history)
+    return _plan(_due(spark, landing, record, selection, now or datetime.now(timezone.utc)))
 
 
 # A Bloom filter per row group lets a lookup by transaction id skip almost all
@@ -156,54 +164,94 @@ def compact(
     if not exists(spark, landing):
         raise ValueError(f"no such root: {landing}")
     now = now or datetime.now(timezone.utc)
-    files, new, record = _due(spark, landing, history, selection, now)
+    record = read_record(spark, history)
+    due = _due(spark, landing, record, selection, now)
+    plan = _plan(due).collect()
+    new: dict[Key, list[Landed]] = {}
+    for row in due.where("new").collect():
+        new.setdefault(key_of(row), []).append(Landed(row["root"], row["file"]))
     after: dict[Key, tuple[int, int]] = {}
     if new:
         # A session of its own, so that no other query is planned with this task size.
         own = configure(spark.newSession())
         own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes))
-        run = f"{record.last + 1:09d}-{uuid.uuid4().hex[:12]}"
-        held = {key: record.runs[key] for key in new if key in record.runs}
+        last = record.agg(F.max("run")).first()[0] or "0"
+        run = f"{int(last.partition('-')[0]) + 1:09d}-{uuid.uuid4().hex[:12]}"
+        chosen = spark.createDataFrame(list(new), PARTITION_DDL)
+        before = last_versions(record).alias("k").join(chosen.alias("c"), _same_partition("k", "c"), "left_semi")
+        held = {key_of(r): r["run"] for r in before.collect()}
         fresh = fill_callers(read_files(own, [f for found in new.values() for f in found]))
         rows = read_versions(own, history, held).unionByName(fresh)
         write_history(rows, f"{history}/run={run}", max_records_per_file)
+        written = read_versions(spark, history, dict.fromkeys(new, run))
+        write_ids(written, history, run)
         # One file: it is there as a whole or not at all.
-        promoted = [(*key, run, f.file, None, now) for key, found in new.items() for f in found]
-        spark.createDataFrame(promoted, PROMOTION_DDL).coalesce(1).write.mode("append").parquet(
-            f"{history}/{PROMOTIONS}"
+        promoted = [(*key, run, f.file, now) for key, found in new.items() for f in found]
+        _record(spark.createDataFrame(promoted, PROMOTION_DDL), history)
+        stored = written.groupBy(*PARTITION_COLUMNS).agg(
+            F.countDistinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("rows")
         )
-        stored = counted(read_versions(spark, history, dict.fromkeys(new, run)))
-        for key in new:
-            names = list_names(spark, f"{history}/run={run}/{folder_of(key)}")
-            after[key] = sum(n.endswith(".parquet") for n in names), stored.get(key, 0)
+        after = {key_of(r): (r["files"], r["rows"]) for r in stored.collect()}
     report = [
-        (*key, "compact" if key in new else "up_to_date", len(found), *after.get(key, (None, None)))
-        for key, found in files.items()
+        (*key_of(r), r["action"], r["files"], *after.get(key_of(r), (None, None))) for r in plan
     ]
     return spark.createDataFrame(report, REPORT_DDL)
 
 
+def _record(rows: DataFrame, history: str) -> None:
+    rows.coalesce(1).write.mode("append").parquet(f"{history}/{PROMOTIONS}")
+
+
 def free(
     spark: SparkSession, landing: str, history: str, keep: timedelta, now: datetime | None = None
 ) -> tuple[int, int]:
-    """Delete what is no longer read: recorded landing files and replaced versions.
+    """Delete what is no longer read: recorded landing files, replaced versions, and runs that
+    stopped before their record.
 
-    Both only `keep` after they were recorded or replaced, so that a view built before still
-    finds them. Returns how many landing files and how many versions of partitions are gone.
+    All only `keep` after they were recorded, replaced or last written to, so that a view built before
+    still finds them and a run that is still writing is left alone. Names that no root lists any
+    more are taken out of the record: those of a root with a sink's log once the log forgets
+    them (see `start_landing`). Returns how many landing files and how many versions (or
+    stopped runs) are gone.
     """
     before = (now or datetime.now(timezone.utc)) - keep
+    records = list_names(spark, f"{history}/{PROMOTIONS}")
     record = read_record(spark, history)
-    # Collected timestamps are in the machine's zone without saying so.
-    old = lambda moment: moment.astimezone(timezone.utc) <= before
-    files = versions = 0
-    for root in landing_roots(spark, landing):
-        for f in landed_files(spark, root):
-            if f.file in record.files and old(record.files[f.file]) and exists(spark, f"{root}/{f.file}"):
-                delete(spark, f"{root}/{f.file}")
-                files += 1
-    for (run, key), moment in record.replaced.items():
-        folder = f"{history}/run={run}/{folder_of(key)}"
-        if old(moment) and exists(spark, folder):
+    old = F.col("promoted_at") <= F.lit(before)
+    files = 0
+    freed = record.where(F.col("file").isNotNull() & old).select("file").distinct()
+    for row in landed_files(spark, landing).join(freed, "file").select("root", "file").toLocalIterator():
+        if exists(spark, f"{row['root']}/{row['file']}"):
+            delete(spark, f"{row['root']}/{row['file']}")
+            files += 1
+
+    in_turn = Window.partitionBy(*PARTITION_COLUMNS).orderBy("run")
+    held = (
+        record.groupBy(*PARTITION_COLUMNS, "run")
+        .agg(F.max("promoted_at").alias("promoted_at"))
+        .withColumn("gone", F.coalesce(F.lead("promoted_at").over(in_turn) <= F.lit(before), F.lit(False)))
+    )
+    removed = 0
+    for row in held.where("gone").toLocalIterator():
+        folder = f"{history}/run={row['run']}/{folder_of(key_of(row))}"
+        if exists(spark, folder):
             delete(spark, folder)
-            versions += 1
-    return files, versions
+            removed += 1
+    runs = {r["run"] for r in record.select("run").distinct().collect()}
+    for name in list_names(spark, history):
+        folder = f"{history}/{name}"
+        if name.startswith("run=") and name.removeprefix("run=") not in runs and modified(spark, folder) <= before:
+            delete(spark, folder)
+            removed += 1
+
+    # Listed anew: what was deleted above is named by sink logs alone.
+    named = landed_files(spark, landing).select("file")
+    forgotten = record.where(F.col("file").isNotNull() & old).join(named, "file", "left_anti")
+    if not forgotten.isEmpty() or removed:
+        versions = held.where("NOT gone").withColumn("file", F.lit(None).cast("string"))
+        kept = record.where("file IS NOT NULL").join(forgotten.select("file"), "file", "left_anti")
+        # The new rows first: twice in the record is as good as once.
+        _record(kept.unionByName(versions.drop("gone")).select(*record.columns), history)
+        for name in records:
+            delete(spark, f"{history}/{PROMOTIONS}/{name}")
+    return files, removed

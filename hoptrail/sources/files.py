@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import SparkSession
 
 
@@ -22,6 +24,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(target)]
 
 
+def modified(spark: SparkSession, path: str) -> datetime:
+    """When a file or folder was last changed (UTC)."""
+    files, target = _folder(spark, path)
+    return datetime.fromtimestamp(files.getFileStatus(target).getModificationTime() / 1000, timezone.utc)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, target = _folder(spark, path)
     files.delete(target, True)

@@ -6,6 +6,9 @@
 decides what is read: of each partition the last recorded version, and every landing file that
 no run has recorded. So a run that stops before its record has changed nothing, and a file that
 lands late is seen at once.
+
+Record and sink logs are tables of names, and Spark compares them: the driver gets one row per
+partition that will be scanned, and the names of the files that are in no version yet.
 """
 
 from __future__ import annotations
@@ -13,16 +16,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
-from urllib.parse import unquote
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptrail.schema import PARTITION_COLUMNS, PARTITION_DDL, TRACE_COLUMNS, TRACE_DDL
 from hoptrail.sources.files import exists, list_names
 
 PROMOTIONS = "_promotions"
-PROMOTION_DDL = f"{PARTITION_DDL}, run string, file string, bytes bigint, promoted_at timestamp"
+#: `file` is null in rows that only say which run's version a partition has.
+PROMOTION_DDL = f"{PARTITION_DDL}, run string, file string, promoted_at timestamp"
 SINK_LOG = "_spark_metadata"
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 
@@ -30,18 +34,28 @@ _NULL = "__HIVE_DEFAULT_PARTITION__"
 Key = tuple[str | None, int | None, int | None, int | None, int | None]
 
 
-def key_of(path: str) -> Key:
-    """Partition values of a path with `name=value` folders, in any order."""
-    found = dict(part.partition("=")[::2] for part in path.split("/") if "=" in part)
-    values = [found.get(c) for c in PARTITION_COLUMNS]
-    values = [None if v in (None, _NULL) else unquote(v) for v in values]
-    return (values[0], *(v if v is None else int(v) for v in values[1:]))
-
-
 def folder_of(key: Key) -> str:
     return "/".join(f"{c}={_NULL if v is None else v}" for c, v in zip(PARTITION_COLUMNS, key, strict=True))
 
 
+def key_of(row) -> Key:
+    return tuple(row[c] for c in PARTITION_COLUMNS)
+
+
+def in_hours(hours: Iterable[datetime] | None) -> Column:
+    """Whether a row's partition is one of these UTC hours (None: any)."""
+    if hours is None:
+        return F.lit(True)
+    days: dict[tuple[int, int, int], list[int]] = {}
+    for h in hours:
+        days.setdefault((h.year, h.month, h.day), []).append(h.hour)
+    tests = [
+        (F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d) & F.col("hour").isin(found)
+        for (y, m, d), found in days.items()
+    ]
+    return reduce(Column.__or__, tests, F.lit(False))
+
+
 @dataclass(frozen=True)
 class Landed:
     """A committed file: its root and its path below it."""
@@ -49,9 +63,8 @@ class Landed:
     root: str
     file: str
 
-    @property
-    def key(self) -> Key:
-        return key_of(self.file)
+
+LISTING_DDL = "root string, file string"
 
 
 def landing_roots(spark: SparkSession, landing: str) -> list[str]:
@@ -62,21 +75,47 @@ def landing_roots(spark: SparkSession, landing: str) -> list[str]:
     return [f"{landing}/{n}" for n in sorted(names) if not n.startswith(("_", "."))]
 
 
-def committed_files(spark: SparkSession, root: str, hours: Iterable[datetime] | None = None) -> list[Landed]:
-    """Committed files of one root, all of them or those of some hours.
-
-    A sink's log names its files, whatever their hour, so files of failed batches don't count.
-    A root without a log is listed; with `hours`, only their folders are.
-    """
-    if SINK_LOG in list_names(spark, root) or hours is None:
+def _with_key(listing: DataFrame) -> DataFrame:
+    """Partition values from the `name=value` folders of `file`, in any order."""
+    values = {}
+    for name, kind in (field.split() for field in PARTITION_DDL.split(", ")):
+        text = F.nullif(F.regexp_extract("file", rf"(?:^|/){name}=([^/]*)/", 1), F.lit(""))
+        plain = F.url_decode(F.replace(F.nullif(text, F.lit(_NULL)), F.lit("+"), F.lit("%2B")))
+        values[name] = plain.cast(kind)
+    return listing.withColumns(values)
+
+
+def _logged(spark: SparkSession, root: str) -> DataFrame:
+    """Files that the sink's log names: its last summary and the batches since."""
+    names = [n for n in list_names(spark, f"{root}/{SINK_LOG}") if n.partition(".")[0].isdigit()]
+    summaries = [int(n.partition(".")[0]) for n in names if n.endswith(".compact")]
+    first = max(summaries, default=-1)
+    wanted = [n for n in names if n == f"{first}.compact" or (n.isdigit() and int(n) > first)]
+    if not wanted:
+        return spark.createDataFrame([], LISTING_DDL)
+    # Spark's file sources skip folders that begin with an underscore; its text input doesn't.
+    lines = spark._jsc.textFile(",".join(f"{root}/{SINK_LOG}/{n}" for n in wanted))
+    entries = DataFrame(spark._jsparkSession.read().schema("path string, action string").json(lines), spark)
+    folders = "|".join(PARTITION_COLUMNS)
+    return (
+        entries.where("action = 'add'")
+        .select(F.lit(root).alias("root"), F.regexp_extract("path", rf"((?:(?:{folders})=[^/]*/)*[^/]+)$", 1).alias("file"))
+        .distinct()
+    )
+
+
+def _listed(spark: SparkSession, root: str, hours: Iterable[datetime] | None) -> DataFrame:
+    """Files of a root without a log, which a batch job wrote; with `hours`, only their folders are listed."""
+    if hours is None:
         paths = spark.read.schema(TRACE_DDL).parquet(root).inputFiles()
-        return [Landed(root, _below(p)) for p in paths]
-    out = []
+        return spark.createDataFrame([(root, _below(p)) for p in paths], LISTING_DDL)
+    found = []
     for zone in (n for n in list_names(spark, root) if n.startswith("zona=")):
         for hour in hours:
             folder = folder_of((None, hour.year, hour.month, hour.day, hour.hour)).partition("/")[2]
-            out += [Landed(root, f"{zone}/{folder}/{n}") for n in list_names(spark, f"{root}/{zone}/{folder}") if n.endswith(".parquet")]
-    return out
+            names = list_names(spark, f"{root}/{zone}/{folder}")
+            found += [(root, f"{zone}/{folder}/{n}") for n in names if n.endswith(".parquet")]
+    return spark.createDataFrame(found, LISTING_DDL)
 
 
 def _below(path: str) -> str:
@@ -86,37 +125,34 @@ def _below(path: str) -> str:
     return "/".join(parts[first:])
 
 
-def landed_files(spark: SparkSession, landing: str, hours: Iterable[datetime] | None = None) -> list[Landed]:
-    return [f for root in landing_roots(spark, landing) for f in committed_files(spark, root, hours)]
+def landed_files(spark: SparkSession, landing: str, hours: Iterable[datetime] | None = None) -> DataFrame:
+    """Committed files: root, file (below the root) and the partition it is in.
 
-
-@dataclass
-class Record:
-    """Of each partition its last version's run; the landing files that are in versions."""
-
-    runs: dict[Key, str]
-    files: dict[str, datetime]
-    #: Versions that a later one has replaced, with the time of that.
-    replaced: dict[tuple[str, Key], datetime]
-    #: Number of the last run; runs begin with their number, so their order needs no clock.
-    last: int = 0
+    A sink's log names its files, whatever their hour, so files of failed batches don't count.
+    """
+    out = spark.createDataFrame([], LISTING_DDL)
+    for root in landing_roots(spark, landing):
+        logged = SINK_LOG in list_names(spark, root)
+        out = out.unionByName(_logged(spark, root) if logged else _listed(spark, root, hours))
+    return _with_key(out)
 
 
-def read_record(spark: SparkSession, history: str) -> Record:
-    record = Record({}, {}, {})
+def read_record(spark: SparkSession, history: str, hours: Iterable[datetime] | None = None) -> DataFrame:
+    """The record (of some hours) as it is now: what is recorded later isn't in it."""
     path = f"{history}/{PROMOTIONS}"
     if not exists(spark, path):
-        return record
-    rows = spark.read.schema(PROMOTION_DDL).parquet(path).orderBy("run").collect()
-    for row in rows:
-        key = tuple(row[c] for c in PARTITION_COLUMNS)
-        before = record.runs.get(key)
-        if before not in (None, row.run):
-            record.replaced[before, key] = row.promoted_at
-        record.runs[key] = row.run
-        record.files[row.file] = row.promoted_at
-        record.last = int(row.run.partition("-")[0])
-    return record
+        return spark.createDataFrame([], PROMOTION_DDL)
+    return spark.read.schema(PROMOTION_DDL).parquet(path).where(in_hours(hours))
+
+
+def last_versions(record: DataFrame) -> DataFrame:
+    """Of each partition the run of its last version; runs begin with their number."""
+    return record.groupBy(*PARTITION_COLUMNS).agg(F.max("run").alias("run"))
+
+
+def versions(record: DataFrame) -> dict[Key, str]:
+    """`last_versions` by partition, for a scan that lists as many folders."""
+    return {key_of(r): r["run"] for r in last_versions(record).collect()}
 
 
 def read_files(spark: SparkSession, files: Iterable[Landed]) -> DataFrame:
@@ -134,14 +170,23 @@ def read_files(spark: SparkSession, files: Iterable[Landed]) -> DataFrame:
     return out
 
 
-def read_versions(spark: SparkSession, history: str, versions: dict[Key, str]) -> DataFrame:
+def read_versions(spark: SparkSession, history: str, chosen: dict[Key, str]) -> DataFrame:
     """Exactly these versions of partitions."""
-    if not versions:
+    if not chosen:
         return spark.createDataFrame([], TRACE_DDL)
-    paths = sorted(f"{history}/run={run}/{folder_of(key)}" for key, run in versions.items())
+    paths = sorted(f"{history}/run={run}/{folder_of(key)}" for key, run in chosen.items())
     return spark.read.schema(TRACE_DDL).option("basePath", history).parquet(*paths).select(*TRACE_COLUMNS)
 
 
+def pending_files(
+    spark: SparkSession, landing: str, record: DataFrame, hours: Iterable[datetime] | None = None
+) -> list[Landed]:
+    """Landing files (of some hours) that `record` doesn't name."""
+    landed = landed_files(spark, landing, hours).where(in_hours(hours))
+    left = landed.join(record.select("file"), "file", "left_anti")
+    return [Landed(r["root"], r["file"]) for r in left.select("root", "file").collect()]
+
+
 def trace_view(
     spark: SparkSession, landing: str, history: str, hours: list[datetime] | None = None
 ) -> DataFrame:
@@ -151,14 +196,6 @@ def trace_view(
     between changes neither what the record says nor the files it names. With `hours` (UTC) the
     view is of those hours alone, and no other folder is listed or read.
     """
-    record = read_record(spark, history)
-    wanted = None if hours is None else {(h.year, h.month, h.day, h.hour) for h in hours}
-    chosen = lambda key: wanted is None or key[1:] in wanted
-    pending = [f for f in landed_files(spark, landing, hours) if f.file not in record.files and chosen(f.key)]
-    versions = {key: run for key, run in record.runs.items() if chosen(key)}
-    return read_versions(spark, history, versions).unionByName(read_files(spark, pending))
-
-
-def counted(frame: DataFrame) -> dict[Key, int]:
-    rows = frame.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows")).collect()
-    return {tuple(r[c] for c in PARTITION_COLUMNS): r["rows"] for r in rows}
+    record = read_record(spark, history, hours)
+    held = versions(record)
+    return read_versions(spark, history, held).unionByName(read_files(spark, pending_files(spark, landing, record, hours)))

@@ -47,7 +47,7 @@ def _claim(spark, root: str, checkpoint: str) -> None:
 
 
 def start_landing(
-    traces: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+    traces: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, retention: str | None = None
 ) -> StreamingQuery:
     """Append traces to Parquet by zone and hour, every 2 minutes by default.
 
@@ -55,6 +55,9 @@ def start_landing(
     counts are reported by the query's progress (`landing`), without a second
     pass. A late trace goes to the hour of its own time. A root belongs to one query and
     its checkpoint; any other is refused.
+
+    The sink's log names all files ever written. With `retention` (such as `30 days`) it forgets older
+    ones, whether or not they were compacted: it must be longer than compaction may fall behind.
     """
     spark = traces.sparkSession
     _claim(spark, root, checkpoint)
@@ -66,6 +69,7 @@ def start_landing(
     query = (
         counted.writeStream.format("parquet")
         .partitionBy(*PARTITION_COLUMNS)
+        .options(**({"retention": retention} if retention else {}))
         .option("path", root)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "2 minutes"}))

@@ -37,7 +37,7 @@ def test_top_k_plans(traces):
         assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_select_only(spark, traces):
+def test_select_only(spark, traces, tmp_path):
     traces.createOrReplaceTempView("t")
     assert lookup.run_select(spark, " select count(*) AS n FROM t -- all").first().n == traces.count()
     assert lookup.run_select(spark, "SELECT zona FROM t WHERE endpoint = ?", ["' OR 1=1"]).count() == 0
@@ -57,6 +57,19 @@ def test_select_only(spark, traces):
     ):
         with pytest.raises(ValueError):
             lookup.run_select(spark, text)
+    path = str(tmp_path / "file")
+    traces.limit(1).write.parquet(path)
+    for text in (
+        "SELECT * FROM text.`/etc/hostname`",
+        "SELECT count(*) FROM binaryFile.`/etc/hostname`",
+        f"SELECT * FROM parquet.`{path}`",
+        f"WITH x AS (SELECT * FROM json.`{path}`) SELECT * FROM x",
+        f"SELECT * FROM IDENTIFIER('parquet.`{path}`')",
+        f"SELECT 1 WHERE EXISTS (SELECT * FROM org.apache.spark.sql.parquet.`{path}`)",
+    ):
+        with pytest.raises(Exception, match="cannot be found|REQUIRES_SINGLE_PART_NAMESPACE"):
+            lookup.run_select(spark, text)
+    assert spark.sql(f"SELECT * FROM parquet.`{path}`").count() == 1
     for text in ("WITH a AS (SELECT 1 AS x) INSERT INTO t SELECT * FROM a", "SELECT 1; DROP TABLE t"):
         with pytest.raises(Exception):
             lookup.run_select(spark, text)

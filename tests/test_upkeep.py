@@ -8,8 +8,10 @@ from hoptrail.plans.normalize import normalize
 from hoptrail.schema import PARTITION_COLUMNS, TRACE_COLUMNS
 from hoptrail.sources.events import as_traces
 from hoptrail.sources import lake as lake_files
+from hoptrail.operators.lookup import transaction
 from hoptrail.sources.files import delete, list_names
-from hoptrail.sources.lake import PROMOTIONS, read_record, read_versions, trace_view
+from hoptrail.sources.ids import find_by_id
+from hoptrail.sources.lake import PROMOTIONS, read_record, read_versions, trace_view, versions
 from hoptrail.sources.tables import read_legacy_traces, read_traces
 from hoptrail.streaming.ingest import start_landing
 
@@ -57,7 +59,7 @@ def lake(spark, tmp_path):
 
 
 def history_of(spark, history):
-    return read_versions(spark, history, read_record(spark, history).runs)
+    return read_versions(spark, history, versions(read_record(spark, history)))
 
 
 def late_row(source, leaf, name="late"):
@@ -266,3 +268,77 @@ def test_legacy_tables_are_read_by_name_and_filled(spark, tmp_path):
     history = str(tmp_path / "history")
     compact(spark, new, history, now=AFTER_ALL)
     assert history_of(spark, history).where("consumer_type IS NULL").count() == 0
+
+
+def test_the_record_is_pruned_by_hours(spark, lake):
+    landing, history, _, _ = lake
+    compact(spark, landing, history, now=AFTER_ALL)
+    leaf = history_of(spark, history).where("year IS NOT NULL").select(*PARTITION_COLUMNS).first()
+    hours = [datetime(leaf.year, leaf.month, leaf.day, leaf.hour, tzinfo=timezone.utc)]
+    plan = read_record(spark, history, hours)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert all(f"EqualTo({c},{leaf[c]})" in pushed for c in ("year", "month", "day"))
+    view = trace_view(spark, landing, history, hours)
+    assert view.count() == trace_view(spark, landing, history).where(" AND ".join(f"{c} = {leaf[c]}" for c in PARTITION_COLUMNS[1:])).count()
+
+
+def test_the_record_shrinks(spark, tmp_path):
+    landing, history = str(tmp_path / "landing"), str(tmp_path / "history")
+    traces = as_traces(spark.read.parquet(EVENTS)).where("day <= 2")
+
+    def land(part):
+        part.repartition(3).write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(landing)
+
+    land(traces)
+    partitions = traces.select(*PARTITION_COLUMNS).distinct().count()
+    compact(spark, landing, history, now=AFTER_ALL)
+    assert read_record(spark, history).count() > partitions
+    for _ in range(2):
+        freed, _ = free(spark, landing, history, timedelta(0), AFTER_ALL)
+        record = read_record(spark, history)
+        assert record.count() == partitions == record.where("file IS NULL").count()
+        assert rows(trace_view(spark, landing, history)) == rows(traces)
+    assert freed == 0
+    # What lands later is recorded and freed alike, and replaces a version.
+    late = traces.limit(4).withColumn("id_transaccion", F.lit("late")).cache()
+    land(late)
+    compact(spark, landing, history, now=AFTER_ALL)
+    _, replaced = free(spark, landing, history, timedelta(0), AFTER_ALL)
+    assert replaced == late.select(*PARTITION_COLUMNS).distinct().count()
+    assert read_record(spark, history).count() == partitions
+    assert rows(trace_view(spark, landing, history)) == rows(traces.unionByName(late))
+
+
+def test_a_stopped_run_is_removed_after_its_time(spark, lake):
+    landing, history, _, source = lake
+    now = datetime.now(timezone.utc)
+    compact(spark, landing, history, now=now)
+    stopped = f"{history}/run=000000002-stopped"
+    source.limit(1).write.parquet(stopped)
+    assert free(spark, landing, history, timedelta(days=1), now) == (0, 0)
+    assert "run=000000002-stopped" in list_names(spark, history)
+    _, removed = free(spark, landing, history, timedelta(days=1), now + timedelta(days=2))
+    assert removed == 1 and "run=000000002-stopped" not in list_names(spark, history)
+    assert trace_view(spark, landing, history).count() == source.count()
+
+
+def test_a_lookup_by_id_opens_the_named_files_only(spark, lake):
+    landing, history, land, source = lake
+    leaf = source.where("year IS NOT NULL").select(*PARTITION_COLUMNS).first()
+    known = source.where("id_transaccion IS NOT NULL").first().id_transaccion
+    assert find_by_id(spark, landing, history, known).count() == 1
+    compact(spark, landing, history, now=AFTER_ALL)
+    found = find_by_id(spark, landing, history, known)
+    assert len(found.inputFiles()) == 1 and rows(found) == rows(source.where(F.col("id_transaccion") == known))
+    assert find_by_id(spark, landing, history, "no-such-id").inputFiles() == []
+    # A version that was replaced isn't read, nor is a late file missed.
+    land(late_row(source, leaf, known).cache())
+    pending = find_by_id(spark, landing, history, known)
+    assert pending.count() == 2
+    compact(spark, landing, history, now=AFTER_ALL)
+    again = find_by_id(spark, landing, history, known)
+    assert again.count() == 2 and len(again.inputFiles()) <= 2
+    assert transaction(again, known).count() == 2
+    others = [r.id_transaccion for r in source.where("id_transaccion IS NOT NULL").limit(40).collect()]
+    for other in others[10:13]:
+        assert rows(find_by_id(spark, landing, history, other)) == rows(source.where(F.col("id_transaccion") == other))
