@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptrail.session import configure
+from hoptrail.sources.files import delete
 
 #: Batches handed to Python hold whole documents, so they are bounded by bytes.
 ARROW_CONF = {
@@ -45,7 +46,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a result that is read several times as a table in the shared folder.
 
     The reread table has no lineage: losing an executor costs no recomputation of
-    what came before. The table stays until the folder's owner clears it.
+    what came before. The table stays until `discard` or the folder's owner clears it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/hoptrail-llm/{uuid.uuid4().hex}"
@@ -53,6 +54,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `materialize` that nothing reads any more: all made from them is written."""
+    for df in tables:
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()[:1]}:
+            delete(df.sparkSession, folder)
+
+
 def digest(values: Column) -> Column:
     """Lowercase hex of the SHA-256 of an array joined by commas."""
     return F.sha2(F.concat_ws(",", values), 256)

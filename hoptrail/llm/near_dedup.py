@@ -7,10 +7,11 @@ share most of their sketches, so with the values of each sketch in one global or
 first, it is enough to list the first few: frequent values are hardly ever listed.
 
 Near copies share many lists. Lists with the same most central member (their hub) are put
-together, and the members of such a family are compared in blocks, each pair of blocks in one
-task: first the sketches, by the similarity that the sketch of the union estimates, then the
-full sets of members that have a partner by then. No pair is written but the links that join
-members of a block.
+together. The sketches of such a family are compared in blocks, each pair of blocks in one task, by
+the similarity that the sketch of the union estimates. The full sets of members that have a partner
+by then are first compared with the hub's alone: a link between two members that are linked
+to the hub joins nothing new, so only the others meet each other and the linked ones, in
+blocks again. No pair is written but the links that join members of a block.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail.llm.common import materialize
+from hoptrail.llm.common import discard, materialize
 from hoptrail.llm.components import components
 
 K = 64
@@ -233,6 +234,26 @@ def _in_blocks(members: DataFrame, values: str) -> DataFrame:
     return met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
 
 
+def _parts(members: DataFrame, values: str, name: str) -> DataFrame:
+    count, held = F.count(F.lit(1)), F.sum(F.size(values))
+    return members.groupBy("hub").agg(F.ceil(F.greatest(count / BLOCK, held / BLOCK_VALUES)).cast("int").alias(name))
+
+
+def _meet_two(left: DataFrame, right: DataFrame, values: str, compare, schema: str) -> DataFrame:
+    """Each block of `left` with each of `right` in the same family, by `side` 0 and 1."""
+    parts = materialize(_parts(left, values, "lefts").join(_parts(right, values, "rights"), "hub"))
+    own = F.xxhash64("node")
+    one = left.join(parts, "hub").withColumns(
+        {"low": F.pmod(own, F.col("lefts")).cast("int"), "high": F.explode(F.sequence(F.lit(0), F.col("rights") - 1)), "side": F.lit(0)}
+    )
+    two = right.join(parts, "hub").withColumns(
+        {"low": F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)), "high": F.pmod(own, F.col("rights")).cast("int"), "side": F.lit(1)}
+    )
+    keys = ["hub", "low", "high"]
+    met = one.unionByName(two).drop("lefts", "rights")
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, schema)
+
+
 def _meet(members: DataFrame, values: str, compare, schema: str) -> DataFrame:
     keys = ["hub", "low", "high"]
     return _in_blocks(members, values).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, schema)
@@ -337,11 +358,18 @@ class NearCopies:
                 yield pa.RecordBatch.from_arrays([pa.array(hub), pa.array(found)], ["hub", "node"])
 
         open_ = materialize(_meet(members.join(sketches, "node"), "sketch", may, "hub long, node long").distinct())
+        discard(lists, hubs, members, sketches)
         sets = materialize(self._sets(docs, open_.select("node").distinct(), width))
+        family = materialize(open_.join(sets, "node"))
+        discard(open_, sets)
 
         def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches, ["hub", "low", "high"]):
-                a, b = _sides(table)
+                if "side" in table.column_names:
+                    side = table.column("side").to_numpy()
+                    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+                else:
+                    a, b = _sides(table)
                 if not len(a) or not len(b):
                     continue
                 held, node = _arrays(table, "values"), table.column("node").to_numpy()
@@ -351,7 +379,16 @@ class NearCopies:
                 x, y = _forest(node[a], node[b], similar)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
-        self.links = materialize(_meet(open_.join(sets, "node"), "values", link, "a long, b long").distinct())
+        edges = "a long, b long"
+        at_hub, others = family.filter("hub = node"), family.filter("hub <> node")
+        star = materialize(_meet_two(at_hub, others, "values", link, edges).distinct())
+        linked = star.select(F.col("a").alias("hub"), F.col("b").alias("node"))
+        rest = materialize(others.join(linked, ["hub", "node"], "left_anti"))
+        joined = others.join(linked, ["hub", "node"], "left_semi").join(rest.select("hub").distinct(), "hub", "left_semi")
+        among = _meet(rest, "values", link, edges)
+        across = _meet_two(rest, joined, "values", link, edges)
+        self.links = materialize(star.unionByName(among).unionByName(across).distinct())
+        discard(family, rest)
         return components(self.links)
 
     def groups(self) -> DataFrame:
