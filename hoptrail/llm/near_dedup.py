@@ -421,4 +421,5 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     out = docs.join(kept, F.col(f"`{key}`").eqNullSafe(kept["doc"]), "left_semi")
     # Only repeated keys need the rows' texts to be compared.
     repeated = not found.rows.groupBy("doc").count().filter("count > 1").isEmpty()
+    discard(found.rows, found.links, found.labels)
     return out.dropDuplicates([key, text]) if repeated else out

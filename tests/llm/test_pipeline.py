@@ -111,4 +111,10 @@ def test_run_against_brute_force(spark, tmp_path):
 
 def test_all_are_registered():
     names = contract.queries()
-    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
+
+
+def test_each_text_is_predicted_once(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = corpus_pipeline.language(spark, docs, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
