@@ -55,11 +55,17 @@ ENDS = {
     "td": (("td", "th"), ("table", "tr")),
     "th": (("td", "th"), ("table", "tr")),
 }
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<",
-    re.S,
-)
+_OTHER = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
+_NAME = r"<(/?)([a-zA-Z][^\s/>]*+)"
+_LENIENT = rf"{_NAME}([^>]*+)>|[^<]+|<"
+#: A tag ends at the first `>` that isn't in quotes, or if there is none, at the first one.
+_TOKEN = re.compile(rf"{_OTHER}|{_NAME}((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|{_LENIENT}", re.S)
+#: Tags that may be read to the end of the page for their `>` in vain; later tags of such a page
+#: end at the first `>`. So a page takes time in proportion to its length.
+STRAY_QUOTES = 20
+_UNQUOTED = re.compile(rf"{_OTHER}|()()()(?!)|{_LENIENT}", re.S)
+#: What is left after the last `>` has no tags.
+_REST = re.compile(r"<!--.*|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 #: Attribute tokens by what they speak of. A token counts if it is one of these or begins with
@@ -108,9 +114,10 @@ def parse(source: str | None) -> Page:
     # Of each open element: tag, node, and whether it or one around it is silent or a link.
     stack = [("", 0, False, False)]
     source, at = source or "", 0
-    while m := _TOKEN.match(source, at):
+    tags_end, strays = source.rfind(">"), 0
+    while m := (_REST if at > tags_end else _TOKEN if strays < STRAY_QUOTES else _UNQUOTED).match(source, at):
         at = m.end()
-        tag = m[2] or m[5]
+        tag = (m[2] or m[5]) if m.re is not _REST else None
         if tag is None:
             text = m[0]
             if stack[-1][0] == "head" and not text.isspace() and (text[0] != "<" or text == "<"):
@@ -121,6 +128,7 @@ def parse(source: str | None) -> Page:
             elif not stack[-1][2]:
                 page.pieces.append((stack[-1][1], html.unescape(text) if "&" in text else text, stack[-1][3]))
             continue
+        strays += m[2] is None
         tag, node = tag.lower(), stack[-1][1]
         if m[1] or m[4]:
             for i in range(len(stack) - 1, 0, -1):
