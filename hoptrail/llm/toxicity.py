@@ -60,13 +60,15 @@ def graded(labelled: DataFrame, text: str = "text", toxic: str = "toxic", steps:
     """`labelled` with a `grade`, where labels only say toxic (1) or not (0).
 
     A first fit of the label tells toxic words. A text that isn't toxic has grade 0, a toxic one 1
-    and 1 more for each of `steps` that the number of its different toxic words reaches.
+    and 1 more for each of `steps` that the number of its different toxic words reaches. The
+    result is written, so that the texts are judged once however often it is read.
     """
     first = fit(labelled, text, toxic, **options)
     found = score(labelled, first, text)
     reached = sum(((F.col("n_terms") >= s).cast("int") for s in steps), F.lit(1))
     label = F.col(f"`{toxic}`")
-    return found.withColumn("grade", F.when(label == 1, reached).when(label == 0, F.lit(0))).drop(*RESULTS)
+    grade = F.when(label == 1, reached).when(label == 0, F.lit(0))
+    return materialize(found.withColumn("grade", grade).drop(*RESULTS))
 
 
 def _sampled(labelled: DataFrame, sample: int) -> DataFrame:
@@ -81,10 +83,12 @@ def labelled_sample(
     """Labels with their documents, at most about `sample` of them, picked by a hash of the key.
 
     The sampled labels are broadcast, as their number is bounded, and what is joined is written.
+    Columns of the documents that the labels have too are those of the labels.
     """
     place = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     picked = labels.filter(place < min(1.0, sample / max(1, labels.count())))
-    return materialize(docs.join(F.broadcast(picked), key))
+    clashing = [F.col(f"`{c}`") for c in docs.columns if c != key and c in labels.columns]
+    return materialize(docs.drop(*clashing).join(F.broadcast(picked), key))
 
 
 def fit(labelled: DataFrame, text: str = "text", grade: str = "grade", sample: int = 20_000) -> Model:
