@@ -24,7 +24,14 @@ from hoptrail.llm.common import materialize
 #: Two sentences of fewer words repeat by chance: of the repeated pairs of sentences on sf0.1, 511
 #: of 1770 under 8 words are in otherwise different documents, and 127 of 5928 of 8 words or more.
 SENTENCES, WORDS, WORDS_ALONE = 2, 8, 20
-_SENTENCE = re.compile(r"[^\s].*?(?:[.!?…。！？]+(?=\s|$)|[。！？]+[」』”’）]*|(?=\n)|$)", re.M)
+_STOPS = ".!?…。！？"
+#: Stops that follow each other are read once, from the first one on, so that a long run of them
+#: that ends no sentence takes no longer than other text.
+_SENTENCE = re.compile(
+    rf"(?<![{_STOPS}])[{_STOPS}]{{2,}}+(?=\s|$)"
+    rf"|[^\s].*?(?:(?<![{_STOPS}])[{_STOPS}]++(?=\s|$)|[。！？]+[」』”’）]*|(?=\n)|$)",
+    re.M,
+)
 #: Characters of scripts without spaces between words; two count as a word.
 _UNSPACED = re.compile(
     "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
@@ -126,11 +133,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
         return pa.StructArray.from_arrays(columns, ["text", "n_sentences", "n_removed"])
 
-    value = F.col(f"`{text}`")
-    same = F.col(f"`{key}`").eqNullSafe(covered["doc"]) & (F.xxhash64(value) == covered["mark"])
-    joined = df.select(*(F.col(f"`{c}`") for c in kept)).join(covered, same, "left")
-    return joined.withColumn("hoptrail_cut", cut(value, F.col("covered"))).select(
-        *(F.col("hoptrail_cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in kept),
-        F.col("hoptrail_cut.n_sentences").alias("n_sentences"),
-        F.col("hoptrail_cut.n_removed").alias("n_removed"),
+    # The row's own columns in one, so that no name can clash.
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"))
+    value = F.col("row")[text]
+    same = F.col("row")[key].eqNullSafe(F.col("doc")) & (F.xxhash64(value) == F.col("mark"))
+    joined = rows.join(covered, same, "left").select("row", cut(value, F.col("covered")).alias("cut"))
+    return joined.select(
+        *(F.col("cut.text").alias(c) if c == text else F.col("row")[c].alias(c) for c in kept),
+        F.col("cut.n_sentences").alias("n_sentences"),
+        F.col("cut.n_removed").alias("n_removed"),
     )

@@ -4,6 +4,7 @@ rows, empty tables and columns of clashing names."""
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -434,3 +435,38 @@ def _labellings(parents):
         labels = [bits >> i & 1 for i in range(n)]
         if all(p < 0 or labels[p] or not labels[i] for i, p in enumerate(parents)):
             yield labels
+
+
+@pytest.mark.parametrize("page", ["<a x " * 80_000, "<a '" * 100_000, '<a ">" ' * 60_000 + "'", "<" * 400_000, '<a "' * 100_001 + ">"])
+def test_long_broken_pages_take_linear_time(page):
+    before = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - before < 4
+
+
+def test_broken_tags_hide_no_text():
+    words = lambda page: [t for _, t, _ in html_text.parse(page).pieces if t]
+    assert words("<p>one</p><a x <b y two") == ["one", "<", "a x ", "<", "b y two"]
+    strays = "".join(f'<p class="a{i}>w{i}</p>' for i in range(2 * html_text.STRAY_QUOTES + 1))
+    assert words(strays)[-1] == f"w{2 * html_text.STRAY_QUOTES}"
+
+
+def test_sentences_end_at_runs_of_stops():
+    plain = lambda t: [t[a:b] for a, b in sentence_spans.sentences(t)]
+    assert plain("Wait... what?! Yes.no. ...so ... end") == ["Wait...", "what?!", "Yes.no.", "...so ...", "end"]
+    assert plain("是。」否！？ x。.y\nz") == ["是。」", "否！？", "x。", ".y", "z"]
+    for text in ("." * 400_000, "." * 400_000 + "x", "。." * 200_000 + "x"):
+        before = time.process_time()
+        assert sentence_spans.sentences(text)
+        assert time.process_time() - before < 2
+
+
+def test_columns_with_names_of_the_operators(spark):
+    passage = "the river runs past the old mill. nobody has lived there for many years now."
+    frame = spark.createDataFrame([(1, passage, "a"), (2, passage, "b")], "doc_id long, text string, covered string")
+    clashing = frame.withColumns({"doc": F.lit(1), "mark": F.lit(2), "row": F.lit(3), "cut": F.lit(4)})
+    got = {r.doc_id: r for r in sentence_spans.remove_repeats(clashing).collect()}
+    assert (got[1].n_removed, got[2].n_removed, got[2].covered, got[2].row) == (0, 2, "b", 3)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(frame.withColumn("toxic", F.lit("own")), labels)
+    assert {(r.doc_id, r.toxic) for r in sample.collect()} == {(1, 1), (2, 0)}
