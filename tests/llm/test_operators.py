@@ -133,9 +133,48 @@ def test_neighbours_against_brute_force(spark):
         assert len(mine) == 10 and all(d[v] == s for v, s in mine) and mine == sorted(mine, key=lambda m: (m[1], m[0]))
         hits += len({v for v, _ in mine} & set(np.lexsort((np.arange(400), d))[:10].tolist()))
     assert hits >= 76
+    # Copies tie, also with a limit carried to another list: the smaller ids win.
+    assert [v for v, _ in found[50]][:9] == list(range(51, 60))
     few = frame.filter("vec_id IN (50, 51, 52)")
     assert neighbours.search(few, few.filter("vec_id = 50")).count() == 2
     assert neighbours.search(frame.filter("false"), frame).count() == 0
+    assert neighbours.search(frame, frame.filter("false")).count() == 0
+
+
+def test_neighbours_abandon_candidates_early():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((6000, 64))
+    fitted = neighbours.fit(x, 40)
+    probes = neighbours.probes_for(fitted, x, 10, 0.98)
+    turned = fitted.rotate(x)
+    cells, order = (fitted.distances(turned).argsort(1)[:, n] for n in (0, slice(None)))
+    ids, hits, pairs, measured = np.arange(6000), 0, 0, 0
+    for q in range(0, 6000, 200):
+        limit, rows, far = np.array([np.inf]), [], []
+        for n, cell in enumerate(order[q][:probes]):
+            at = np.flatnonzero(cells == cell)
+            exact = lambda a, b, at=at, q=q: np.sqrt(((x[at][a] - x[[q]][b]) ** 2).sum(1))
+            found = neighbours.scan(turned[at], at, turned[[q]], ids[[q]], limit, 10, exact)
+            rows, far = rows + at[found.row].tolist(), far + found.distance.tolist()
+            pairs, measured = pairs + len(at), measured + found.measured
+            if not n and len(far) >= 10:
+                limit = np.array([sorted(far)[9]])
+        whole = np.sqrt(((x - x[q]) ** 2).sum(1))
+        whole[q] = np.inf
+        hits += len(set(np.array(rows)[np.argsort(far)[:10]].tolist()) & set(np.argsort(whole)[:10].tolist()))
+    assert hits >= 0.95 * 300 and measured < 0.1 * pairs
+
+
+@pytest.mark.parametrize("factor", [1.0, 1e200, 1e-200])
+def test_neighbours_of_huge_and_tiny_vectors(spark, factor):
+    x = np.random.default_rng(3).standard_normal((60, 8))
+    rows = [(i, (v * factor).tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.search(frame, frame.filter("vec_id = 0"), k=3, lists=4, probes=4).orderBy("rank").collect()
+    d = np.sqrt(((x - x[0]) ** 2).sum(1))
+    want = np.argsort(d)[1:4]
+    assert [r.vec_id for r in got] == want.tolist()
+    assert np.allclose([r.score / factor for r in got], d[want], rtol=1e-12)
 
 
 def item_words(text):
