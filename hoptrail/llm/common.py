@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -55,10 +56,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of `materialize` that nothing reads any more: all made from them is written."""
+    """Delete tables of `materialize` that nothing reads any more: all made from them is written.
+
+    Shuffle files of finished jobs go when the driver's JVM finds that nothing refers to them,
+    which it is asked to look for, as it may not need memory itself for long.
+    """
     for df in tables:
         for folder in {name.rpartition("/")[0] for name in df.inputFiles()[:1]}:
             delete(df.sparkSession, folder)
+    for spark in {df.sparkSession for df in tables}:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def digest(values: Column) -> Column:

@@ -293,7 +293,7 @@ class NearCopies:
         self.labels = self._labels(docs, width)
 
     def _lists(self) -> DataFrame:
-        """(value, node, shared): the inverted lists, with each node's number of shared values."""
+        """(value, node, shared): the inverted lists, with each node's number of shared values, written."""
         nodes = self.rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         held = nodes.select("node", "n", F.explode("sketch").alias("value"))
         # Written, like every side of a join that may be skewed: Spark can then split both sides.
@@ -306,7 +306,10 @@ class NearCopies:
         # The first values of the sketch are those that no other sketch has.
         room = size - least_shared(F.col("n"), self.num, self.den) + 1 - (size - shared)
         listed = F.slice("found", F.lit(1), F.greatest(room, F.lit(0)))
-        return by_node.select("node", shared.alias("shared"), F.explode(F.transform(listed, lambda x: x["value"])).alias("value"))
+        value = F.explode(F.transform(listed, lambda x: x["value"])).alias("value")
+        lists = materialize(by_node.select("node", shared.alias("shared"), value))
+        discard(frequent)
+        return lists
 
     def _sets(self, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
         """(node, values): the full sets of the nodes, from one row of each."""
@@ -333,7 +336,7 @@ class NearCopies:
 
     def _labels(self, docs: DataFrame, width: int) -> DataFrame:
         num, den = self.num, self.den
-        lists = materialize(self._lists())
+        lists = self._lists()
         hubs = materialize(
             lists.groupBy("value")
             .agg(F.max(F.struct("shared", "node")).alias("hub"), F.count(F.lit(1)).alias("held"))
@@ -399,6 +402,7 @@ class NearCopies:
         )
         names = materialize(named.groupBy("component").agg(F.min("least").alias("component_id")))
         of_node = materialize(named.join(names, "component").select("node", "component_id"))
+        discard(named, names)
         # Empty sets have no node; what stands for it spreads them over the join.
         own = self.rows.select(
             "doc", "n", F.when(F.col("n") > 0, F.col("node")).otherwise(F.xxhash64("doc")).alias("node")
