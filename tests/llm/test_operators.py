@@ -295,11 +295,11 @@ def test_repeated_passages_go_but_for_the_first(spark, docs):
 
 
 def test_repeated_passages_against_every_run(spark, words):
-    """All runs of 2 sentences and 8 words, or of 20 words; passages begin in the middle of a sentence."""
+    """All runs of 2 sentences and 20 words, or of 50 words; passages begin in the middle of a sentence."""
     rng = random.Random(13)
     sentence = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize()
     some = lambda n, low, high: [sentence(rng.randint(low, high)) for _ in range(n)]
-    passages = [some(3, 3, 7) for _ in range(6)] + [some(1, 20, 29) for _ in range(4)] + [some(1, 3, 9) for _ in range(4)] + [some(4, 1, 12) for _ in range(4)]
+    passages = [some(4, 3, 9) for _ in range(6)] + [some(1, 45, 60) for _ in range(4)] + [some(2, 6, 12) for _ in range(4)] + [some(5, 1, 12) for _ in range(4)]
     texts = []
     for i in range(60):
         body = some(rng.randint(1, 6), 1, 25)
@@ -307,14 +307,15 @@ def test_repeated_passages_against_every_run(spark, words):
             head, tail = sentence(6), sentence(5)
             body[rng.randint(0, len(body)) : 0] = [f"{sentence(i % 5)} {head}".strip(), *whole, tail]
         texts.append(". ".join(body) + ".")
-    texts += ["今日はとても良い天気です。明日は雨が降るでしょう。", "始まり。今日はとても良い天気です。明日は雨が降るでしょう。終わり。"]
+    unspaced = "今日はとても良い天気です。明日は朝から雨が降るでしょう。傘を持って出かけるのがよいと思います。"
+    texts += [unspaced, f"始まり。{unspaced}終わり。"]
     first, runs = {}, {}
     for i, text in enumerate(texts):
         parts = [p.lower() for p in re.findall(r"[^.。]+[.。]", text)]
         size = [len(p.split()) + len(re.findall("[\u3040-\u9fff]", p)) // 2 for p in parts]
         for a in range(len(parts)):
             for b in range(a + 1, len(parts) + 1):
-                if (b - a >= 2 and sum(size[a:b]) >= 8) or sum(size[a:b]) >= 20:
+                if (b - a >= 2 and sum(size[a:b]) >= 20) or sum(size[a:b]) >= 50:
                     runs[i, a, b] = " ".join(" ".join(parts[a:b]).split())
                     first.setdefault(runs[i, a, b], (i, a))
     gone = {}
@@ -501,11 +502,11 @@ def test_sentences_end_at_runs_of_stops():
 
 
 def test_columns_with_names_of_the_operators(spark):
-    passage = "the river runs past the old mill. nobody has lived there for many years now."
+    passage = "the river runs past the old mill. nobody has lived there for many years now. the wheel stopped long ago."
     frame = spark.createDataFrame([(1, passage, "a"), (2, passage, "b")], "doc_id long, text string, covered string")
     clashing = frame.withColumns({"doc": F.lit(1), "mark": F.lit(2), "row": F.lit(3), "cut": F.lit(4)})
     got = {r.doc_id: r for r in sentence_spans.remove_repeats(clashing).collect()}
-    assert (got[1].n_removed, got[2].n_removed, got[2].covered, got[2].row) == (0, 2, "b", 3)
+    assert (got[1].n_removed, got[2].n_removed, got[2].covered, got[2].row) == (0, 3, "b", 3)
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     sample = toxicity.labelled_sample(frame.withColumn("toxic", F.lit("own")), labels)
     assert {(r.doc_id, r.toxic) for r in sample.collect()} == {(1, 1), (2, 0)}
