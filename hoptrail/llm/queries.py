@@ -117,6 +117,7 @@ def queries() -> dict[str, Query]:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": sql.decontamination(),
     "op12_conversation_trie": sql.conversation_trie(),
     "op13_merkle_manifest": sql.manifest(),
 }

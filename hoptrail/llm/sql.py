@@ -91,3 +91,69 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n,
        CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM nodes n JOIN totals t ON t.path = n.path LEFT JOIN children c ON c.path = n.path
 LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, 32 * (n.depth - 1))"""
+
+
+def decontamination(window: int = 10, near: int = 3, slop: int = 20) -> str:
+    """All windows of all texts joined by their words, and the rarest words of items by their places."""
+
+    def words(text: str) -> str:
+        lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    def grams(table: str, key: str, size: str) -> str:
+        return f"""SELECT {key}, unnest(range(0, len(w) - {size} + 1)) AS pos, {size} AS size, w FROM {table}
+            WHERE len(w) >= {size}"""
+
+    def digest(ids: str) -> str:
+        return f"sha256(coalesce(array_to_string({ids}, ','), ''))"
+
+    return f"""
+WITH doc AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_id, doc_id, coalesce({words("text")}, []) AS w FROM documents)
+, item AS MATERIALIZED (
+    SELECT row_number() OVER () AS uid, item_id, {words("text")} AS w
+    FROM (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, text FROM benchmark WHERE text IS NOT NULL)
+    WHERE len({words("text")}) > 0)
+, item_gram AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[pos + 1:pos + size], ' ') AS gram
+    FROM ({grams("item", "item_id", f"least(len(w), {window})")}))
+, size AS (SELECT DISTINCT size FROM item_gram)
+, doc_gram AS (
+    SELECT row_id, pos, size, array_to_string(w[pos + 1:pos + size], ' ') AS gram
+    FROM ({grams("doc, size", "row_id", "size")}))
+, met AS MATERIALIZED (SELECT row_id, pos, size, item_id FROM doc_gram JOIN item_gram USING (size, gram))
+, hit AS (
+    SELECT row_id, count(*) AS n_hit
+    FROM (SELECT DISTINCT row_id, unnest(range(pos, pos + size)) AS place FROM met) GROUP BY row_id)
+, named AS (SELECT row_id, list(DISTINCT item_id ORDER BY item_id) FILTER (item_id IS NOT NULL) AS items FROM met GROUP BY row_id)
+, place AS MATERIALIZED (SELECT row_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM doc WHERE len(w) > 0)
+, often AS (SELECT word, count(*) AS n FROM place GROUP BY word)
+, item_word AS (
+    SELECT uid, item_id, word, min(pos) AS pos
+    FROM (SELECT uid, item_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM item) GROUP BY uid, item_id, word)
+, rare AS (
+    SELECT uid, item_id, word, row_number() OVER (PARTITION BY uid ORDER BY n IS NULL, n, pos) AS rank,
+        count(n) OVER (PARTITION BY uid) AS known, count(*) OVER (PARTITION BY uid) AS asked, n
+    FROM item_word LEFT JOIN often USING (word))
+, sought AS MATERIALIZED (
+    SELECT uid, item_id, word, rank, least(known, {near}) AS needed FROM rare
+    WHERE n IS NOT NULL AND rank <= {near} AND known >= least(asked, 2))
+, around AS (
+    SELECT s.uid, s.item_id, s.needed, p.row_id, p.pos, p.pos AS low, p.pos AS high
+    FROM sought s JOIN place p USING (word) WHERE s.rank = 1)""" + "".join(
+        f"""
+, around{k} AS (
+    SELECT a.uid, a.item_id, a.needed, a.row_id, a.pos, least(a.low, coalesce(p.pos, a.low)) AS low,
+        greatest(a.high, coalesce(p.pos, a.high)) AS high
+    FROM around{k - 1 if k > 2 else ""} a
+    LEFT JOIN sought s ON s.uid = a.uid AND s.rank = {k}
+    LEFT JOIN place p ON p.row_id = a.row_id AND p.word = s.word AND p.pos BETWEEN a.pos - {slop} AND a.pos + {slop}
+    WHERE s.word IS NULL OR p.pos IS NOT NULL)""" for k in range(2, near + 1)
+    ) + f"""
+, close AS (
+    SELECT row_id, list(DISTINCT item_id ORDER BY item_id) FILTER (item_id IS NOT NULL) AS near
+    FROM around{near} WHERE high - low < {slop} GROUP BY row_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    CAST(coalesce(len(items), 0) AS BIGINT) AS n_items, {digest("items")} AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(len(near), 0) AS BIGINT) AS n_near, {digest("near")} AS near_sha256
+FROM doc LEFT JOIN hit USING (row_id) LEFT JOIN named USING (row_id) LEFT JOIN close USING (row_id)"""

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -203,8 +204,8 @@ def test_decontamination_against_brute_force(spark, docs, words, monkeypatch):
                     hit.update(range(k, k + n))
         digest = hashlib.sha256(",".join(sorted(map(str, named))).encode()).hexdigest()
         want.append(str((r.doc_id, len(w), len(hit), len(named), digest, bool(hit))))
-    # Several slices of terms give the same as one.
-    monkeypatch.setattr(decontaminate, "TERMS_AT_ONCE", 60)
+    # Several blocks of items, and pieces of starts, give the same as one.
+    monkeypatch.setattr(decontaminate, "WORDS_AT_ONCE", 60)
     got = decontaminate.report(docs, benchmark).drop("matches").collect()
     assert sorted(str(tuple(r)) for r in got) == sorted(want)
     clean = decontaminate.clean(docs, benchmark)
@@ -213,10 +214,52 @@ def test_decontamination_against_brute_force(spark, docs, words, monkeypatch):
     assert decontaminate.report(empty(docs), benchmark).count() == 0
 
 
+def test_lists_decide(monkeypatch):
+    """The matches of shards of any size are those of plain loops, and not without meeting the lists."""
+    rng = random.Random(21)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.choice([0, 3, 40, 90]))) for _ in range(60)] + [None, " - "]
+    passages = [" ".join(rng.choice("abcd") for _ in range(14)) for _ in range(6)] + ["a b c", "d"]
+    texts += [f"{rng.choice(passages)} a {p} b" for p in passages]
+    items = pa.table({"uid": range(8), "words": [p.split() for p in passages], "near": [["d", "a", "b"], [], ["c"], ["a", "c"], ["b", "d"], [], [], []]})
+    want = set()
+    for i, text in enumerate(texts):
+        w = item_words(text)
+        for u, p in enumerate(passages):
+            parts = [p.split()[k : k + 10] for k in range(max(1, len(p.split()) - 9))]
+            want |= {(i, u, k + j) for part in parts for k in range(len(w)) if w[k : k + len(part)] == part for j in range(len(part))}
+
+    def found(cut):
+        got, spans = set(), {}
+        for a in range(0, len(texts), cut):
+            held = pa.record_batch({"doc": range(a, min(a + cut, len(texts))), "mark": [0] * len(texts[a : a + cut]), "text": pa.array(texts[a : a + cut], pa.string())})
+            documents, lists = decontaminate._shard([held], a)
+            assert documents.column("n_words").to_pylist() == [len(item_words(t)) for t in texts[a : a + cut]]
+            for m in decontaminate._search(pa.Table.from_batches([lists]), decontaminate._Block(items), 10, 4).to_pylist():
+                if m["span"] is None:
+                    got |= {(a + m["number"], m["uid"], j) for j in range(m["start"], m["end"])}
+                else:
+                    spans[a + m["number"], m["uid"]] = m["span"]
+        return got, spans
+
+    close = {}
+    for i, text in enumerate(texts):
+        w = item_words(text)
+        for u, near in enumerate(items.column("near").to_pylist()):
+            sizes = [n for n in range(1, 5) if near and any(set(near) <= set(w[k : k + n]) for k in range(len(w) - n + 1))]
+            if sizes:
+                close[i, u] = sizes[0]
+    assert len(want) > 100 and found(1000) == (want, close)
+    monkeypatch.setattr(decontaminate, "STARTS_AT_ONCE", 128)
+    assert found(7) == found(1) == (want, close)
+    met = decontaminate._Lists._met
+    monkeypatch.setattr(decontaminate._Lists, "_met", lambda lists, ids, offsets: met(lists, ids[:, :1], offsets[:, :1]))
+    assert found(1000)[0] > want
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "zeta a b alpha c omega"), (2, "alpha " + "x " * 50 + "zeta omega"), (3, "alpha zeta")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "alpha zeta omega")], "item_id long, text string")
-    near = decontaminate.Index(docs, items).near(slop=10)
+    near = decontaminate.Index(docs).search(items, slop=10).near()
     assert [(r.doc, r.item_id, r.span) for r in near.collect()] == [(1, "7", 6)]
 
 
