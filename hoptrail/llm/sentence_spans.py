@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail.llm.common import materialize
+from hoptrail.llm.common import discard, materialize
 
 #: A span has this many sentences and words; a sentence of `WORDS_ALONE` words is a passage by
 #: itself, as texts without stops are a single sentence. Shorter runs repeat by chance or are
@@ -123,7 +123,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 ["doc", "mark", "span", "first", "last"],
             )
 
-    found = docs.mapInArrow(scan, f"doc {kind}, mark long, span long, first int, last int")
+    # Written once, as the texts take longer to read than their spans.
+    found = materialize(docs.mapInArrow(scan, f"doc {kind}, mark long, span long, first int, last int"))
     repeated = materialize(
         found.groupBy("span")
         .agg(F.min(F.struct("doc", "mark", "first")).alias("origin"), F.count(F.lit(1)).alias("times"))
@@ -134,6 +135,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     covered = materialize(
         later.groupBy("doc", "mark").agg(F.collect_set(F.struct("first", "last")).alias("covered"))
     )
+    discard(found, repeated)
 
     @F.arrow_udf("text string, n_sentences long, n_removed long")
     def cut(texts: pa.Array, covered: pa.Array) -> pa.Array:
