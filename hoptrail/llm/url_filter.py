@@ -25,6 +25,7 @@ FEATURES = [
         "parameters query_length fragment suffix_length suffix_log_pages suffix_log_hosts suffix_depth"
     ).split()
 ]
+_OF_MODEL = ["hoptrail_vector", "hoptrail_prediction", "hoptrail_probability", "hoptrail_raw"]
 
 
 @dataclass(frozen=True)
@@ -158,9 +159,11 @@ def judge(
 
     URLs that a rule judges are the labelled ones, with weight 1. Rules name whole suffixes, so
     trees that saw only them would block or allow a suffix as a whole; the other URLs are
-    therefore learnt from too, as allowed with weight `unlabelled`. Statistics of suffixes are
-    over all URLs. A null URL, or one without `://`, has an empty host and path and is judged
-    by the trees like any other. Without labels of both kinds what no rule judges is allowed.
+    therefore learnt from too, as allowed with weight `unlabelled`. Hosts are dealt to two folds,
+    and each fold is judged by trees from the other one, so that no URL is judged by what was
+    assumed of it or of its host. Statistics of suffixes are over all URLs. A null URL, or one without `://`, has an empty host and path and is judged
+    by the trees like any other. Without labels of both kinds in a fold, what no rule judges in
+    the other one is allowed.
     Columns of the result's names are replaced; equal rows stay.
     """
     urls = parsed(df.drop("host", "path", "rule", "verdict", "p_block"), url)
@@ -175,11 +178,13 @@ def judge(
             "hoptrail_weight": F.when(F.col("rule").isNull(), F.lit(unlabelled)).otherwise(F.lit(1.0)),
         }
     )
-    model = fit(labelled, sample)
-    if model is None:
-        scored = ready.withColumn("p_block", F.lit(0.0))
-    else:
-        scored = model.transform(ready).withColumn("p_block", vector_to_array("hoptrail_probability")[1])
+    fold = F.pmod(F.xxhash64("hoptrail_host"), F.lit(2))
+    judged = []
+    for mine in (0, 1):
+        model, rows = fit(labelled.filter(fold != mine), sample), ready.filter(fold == mine)
+        chance = F.lit(0.0) if model is None else vector_to_array("hoptrail_probability")[1]
+        judged.append((rows if model is None else model.transform(rows)).withColumn("p_block", chance).drop(*_OF_MODEL))
+    scored = judged[0].unionByName(judged[1])
     free = F.when(F.col("p_block") >= 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict", "p_block")]
     return scored.select(
