@@ -358,6 +358,64 @@ def test_one_hot_transaction_is_spread_over_cells(spark):
     assert "_cell" in plan.split("Join LeftOuter")[1].split("\n")[0]
 
 
+def test_call_tree_compares_few_pairs_in_a_dense_cell(spark, monkeypatch):
+    """One service calls itself 3000 times in one cell: a hop meets few of the hops around it."""
+    rows = [
+        {"id_transaccion": "hot", "zona": "z", "id_recurso": "a-api-1", "consumer_type": "internal", "source_zone": "z", "source_service": "a-api",
+         "event_timestamp": after(seconds=i // 3), "time_transaction": 1 + i * 7919 % 3001, "endpoint": str(i)}
+        for i in range(3000)
+    ]
+    df = make(spark, rows)
+    monkeypatch.setattr(chains, "LEVELS", 2)  # so that ranges hold several parents
+
+    def joined(node) -> int:
+        plan = node.getClass().getSimpleName()
+        if plan == "AdaptiveSparkPlanExec":
+            return joined(node.executedPlan())
+        if plan.endswith("QueryStageExec"):
+            return joined(node.plan())
+        if "Join" in plan and "_cell" in node.simpleString(1000):
+            return node.metrics().apply("numOutputRows").value()
+        return max((joined(node.children().apply(i)) for i in range(node.children().size())), default=0)
+
+    tree = chains.call_tree(df, cell_seconds=3600)
+    got = {r.hop: r for r in tree.collect()}
+    assert len(got) == 3000
+    hops = [got[i] for i in range(1, 3001)]
+    ends = [h.event_timestamp + timedelta(milliseconds=h.time_transaction) for h in hops]
+    # None lasts longer than the four seconds of 12 hops.
+    for i, h in enumerate(hops):
+        around = [(hops[j].time_transaction, -hops[j].hop) for j in range(max(0, i - 12), i) if ends[j] >= ends[i]]
+        assert h.parent_hop == (-min(around)[1] if around else None)
+    assert sum(h.parent_hop is not None for h in hops) > 1000
+    frame = chains.call_tree(df, cell_seconds=3600)
+    execution = frame._jdf.queryExecution()
+    frame._jdf.collectToPython()
+    assert 3000 <= joined(execution.executedPlan()) < 5 * 3000
+
+
+@MANY
+@given(
+    st.lists(st.tuples(st.sampled_from(SERVICES), st.sampled_from(SERVICES), st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=50),
+    st.sampled_from([(2, 1), (2, 3), (3, 2)]),
+)
+def test_call_tree_of_any_ranges_against_brute_force(spark, calls, shape):
+    rows = [
+        {"id_transaccion": "t", "zona": "z", "id_recurso": f"{callee}-1", "consumer_type": "internal", "source_zone": "z",
+         "source_service": caller, "event_timestamp": after(seconds=s), "time_transaction": d * 1000, "endpoint": str(i)}
+        for i, (caller, callee, s, d) in enumerate(calls)
+    ]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(chains, "FANOUT", shape[0])
+        patch.setattr(chains, "LEVELS", shape[1])
+        tree = chains.call_tree(make(spark, rows), cell_seconds=5).collect()
+    assert len(tree) == len(rows)
+    end = lambda x: x.event_timestamp + timedelta(milliseconds=x.time_transaction)
+    for r in tree:
+        around = [(p.time_transaction, -p.hop) for p in tree if p.hop < r.hop and p.callee == r.caller and end(p) >= end(r)]
+        assert r.parent_hop == (-min(around)[1] if around else None)
+
+
 def test_edge_significance_against_plain_formulas(spark):
     import math
 
