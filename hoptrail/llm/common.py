@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,18 @@ def discard(*tables: DataFrame) -> None:
         spark._jvm.System.gc()
 
 
+def release() -> None:
+    """Give memory that a Python worker has freed back to the system.
+
+    A worker is kept for later tasks, beside the executor's JVM and under the same limit.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def digest(values: Column) -> Column:
     """Lowercase hex of the SHA-256 of an array joined by commas."""
     return F.sha2(F.concat_ws(",", values), 256)

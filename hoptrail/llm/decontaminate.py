@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from hoptrail.llm.common import digest, discard, materialize
+from hoptrail.llm.common import digest, discard, materialize, release
 
 #: Text of a shard, in bytes; one text is never cut, so a longer one is a shard by itself.
 SHARD_BYTES = 8 << 20
@@ -121,6 +121,8 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size, shard = [], 0, shard + 1
     if held:
         yield from _shard(held, shard)
+    del held
+    release()
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:

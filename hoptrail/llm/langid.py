@@ -10,10 +10,9 @@ occurrence.
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
@@ -21,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hoptrail.llm.common import release
+
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -43,6 +44,7 @@ class Model:
     languages: list[str]
     words: Table
     grams: list[Table]
+    identifier: Identifier | None = field(default=None, repr=False, compare=False)
 
     def score(self, word: str) -> np.ndarray:
         """Log probability of a lower-case word by language, up to a constant."""
@@ -177,22 +179,20 @@ class Identifier:
         return self.model.languages[best], float(1 / np.exp(mean - mean[best]).sum())
 
 
-_IDENTIFIERS: dict[str, Identifier] = {}
-
-
 def predictor(df: DataFrame, model: Model):
     """A column function: text to struct(lang, score).
 
-    The model is broadcast; its size is bounded by that of the sample it was fitted on.
+    The model is broadcast; its size is bounded by that of the sample it was fitted on. What a
+    worker remembers goes with its copy of the model, when a later task doesn't use that any more.
     """
-    shared, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang string, score double")
     def predict(texts: pa.Array) -> pa.Array:
-        if key not in _IDENTIFIERS:
-            _IDENTIFIERS.clear()
-            _IDENTIFIERS[key] = Identifier(shared.value)
-        found = [_IDENTIFIERS[key].predict(t) for t in texts.to_pylist()]
+        known = shared.value
+        known.identifier = known.identifier or Identifier(known)
+        found = [known.identifier.predict(t.as_py()) for t in texts]
+        release()
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
             ["lang", "score"],

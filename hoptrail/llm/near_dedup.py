@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail.llm.common import discard, materialize
+from hoptrail.llm.common import discard, materialize, release
 from hoptrail.llm.components import components
 
 K = 64
@@ -95,9 +96,18 @@ def _node(values: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes(), len(values)) - (1 << 63)
 
 
+#: Bytes of text that are hashed at once; each takes some 60 bytes of memory meanwhile.
+SCANNED = 1 << 20
+
+
 def _scan(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    for values in shingle_sets(texts.cast(pa.binary()).to_pylist(), width):
-        yield (_node(values) if len(values) else 0), values
+    """Node and set of each text, in order; whole texts, so a longer one than `SCANNED` is hashed alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // SCANNED
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        for values in shingle_sets(texts.slice(a, b - a).cast(pa.binary()).to_pylist(), width):
+            yield (_node(values) if len(values) else 0), values
 
 
 def least_shared(n: Column, num: int, den: int) -> Column:
@@ -288,6 +298,7 @@ class NearCopies:
                     ],
                     ["doc", "node", "n", "sketch"],
                 )
+            release()
 
         self.rows = materialize(docs.mapInArrow(sketch, f"doc {kind}, node long, n long, sketch array<long>"))
         self.labels = self._labels(docs, width)
@@ -329,6 +340,7 @@ class NearCopies:
                     [pa.array([n for n, _ in rows], pa.int64()), pa.array([v for _, v in rows], pa.list_(pa.int64()))],
                     ["node", "values"],
                 )
+            release()
 
         # Documents are shuffled at any size: what is asked for grows with them.
         found = docs.join(asked.hint("merge"), docs["doc"].eqNullSafe(asked["doc"])).select("text", "nodes")
@@ -359,6 +371,7 @@ class NearCopies:
                 found = np.union1d(node[a][ok.any(1)], node[b][ok.any(0)])
                 hub = np.full(len(found), table.column("hub")[0].as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(hub), pa.array(found)], ["hub", "node"])
+            release()
 
         open_ = materialize(_meet(members.join(sketches, "node"), "sketch", may, "hub long, node long").distinct())
         discard(lists, hubs, members, sketches)
@@ -381,6 +394,7 @@ class NearCopies:
                 similar = both * den >= (n[a][:, None] + n[b][None] - both) * num
                 x, y = _forest(node[a], node[b], similar)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+            release()
 
         edges = "a long, b long"
         at_hub, others = family.filter("hub = node"), family.filter("hub <> node")

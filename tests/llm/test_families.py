@@ -1,8 +1,10 @@
 """Large families of near copies against all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hoptrail.llm import near_dedup
@@ -46,3 +48,17 @@ def test_a_large_family(spark, monkeypatch, n, block):
     expected = by_all_pairs(rows, 2)
     assert got == expected
     assert len(set(expected.values())) > 20
+
+
+def test_many_texts_are_hashed_a_part_at_a_time():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(n)) for n in [9000] * 300 + [0, 1, 400_000]]
+    texts = [*texts[:50], None, *texts[50:]]
+    held = pa.array(texts)
+    tracemalloc.start()
+    got = [n for _, values in near_dedup._scan(held, 5) for n in (len(values), int(values.sum()))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = near_dedup.shingle_sets([t and t.encode() for t in texts], 5)
+    assert got == [n for values in whole for n in (len(values), int(values.sum()))]
+    assert peak < 200e6

@@ -1,9 +1,12 @@
 """The stages in order, and the guard of the registry."""
 
+import gc
 import hashlib
 import re
+import weakref
 
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -36,6 +39,17 @@ def test_language_keeps_texts_of_words_that_languages_share(spark):
     assert all(r.lang for r in kept)
 
 
+def test_words_remembered_go_with_the_model(spark):
+    docs = spark.createDataFrame([("kamo tira", "aa"), ("lichung schupf", "bb")], "text string, lang string")
+    model = langid.fit(docs)
+    predict = langid.predictor(docs, model)
+    assert predict.func(pa.array(["tira kamo", None])).to_pylist()[0]["lang"] == "aa"
+    held = weakref.ref(model)
+    del model, predict
+    gc.collect()
+    assert not [x for x in gc.get_objects() if isinstance(x, langid.Identifier) and x.model is held()]
+
+
 def word_lists(text):
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x20\x09-\x0D]+", lowered), re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
