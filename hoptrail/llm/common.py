@@ -21,6 +21,10 @@ ARROW_CONF = {
 }
 
 
+#: Deletes the shuffle files of a query when it ends, not when the driver's JVM happens to collect what refers to them.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """The engine's settings plus those of the text operators."""
     for key, value in ARROW_CONF.items():
@@ -49,11 +53,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a result that is read several times as a table in the shared folder.
 
     The reread table has no lineage: losing an executor costs no recomputation of
-    what came before. The table stays until `discard` or the folder's owner clears it.
+    what came before. The table stays until `discard` or the folder's owner clears it. What was
+    shuffled for it is deleted at once, as it is read from the table from now on.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/hoptrail-llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,8 +6,9 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from hoptrail.llm import near_dedup
+from hoptrail.llm import common, near_dedup
 
 
 def family(n, changes, seed, words=60):
@@ -50,6 +51,21 @@ def test_a_large_family(spark, monkeypatch, n, block):
     assert len(set(expected.values())) > 20
 
 
+def test_materialize_leaves_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = files.getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before, setting = shuffled(), spark.conf.get(common.SHUFFLE_CLEANUP)
+    table = common.materialize(df)
+    assert shuffled() <= before
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+    assert table.count() == 7 and df.count() == 7
+
+
 def test_many_texts_are_hashed_a_part_at_a_time():
     rng = random.Random(5)
     texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(n)) for n in [9000] * 300 + [0, 1, 400_000]]
