@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail.llm.common import discard, materialize, release
@@ -229,9 +229,9 @@ def _forest(a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> tuple[list[int]
 BLOCK, BLOCK_VALUES = 512, 250_000
 
 
-def _in_blocks(members: DataFrame, values: str) -> DataFrame:
-    """`members` (hub, node, ...) once for each pair of blocks (low, high) of its family."""
-    count, held = F.count(F.lit(1)), F.sum(F.size(values))
+def _in_blocks(members: DataFrame, size: Column) -> DataFrame:
+    """`members` (hub, node, ...) of `size` values once for each pair of blocks (low, high) of its family."""
+    count, held = F.count(F.lit(1)), F.sum(size)
     parts = materialize(
         members.groupBy("hub")
         .agg(F.ceil(F.greatest(count / BLOCK, held / BLOCK_VALUES)).cast("int").alias("parts"), count.alias("held"))
@@ -264,9 +264,35 @@ def _meet_two(left: DataFrame, right: DataFrame, values: str, compare, schema: s
     return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, schema)
 
 
-def _meet(members: DataFrame, values: str, compare, schema: str) -> DataFrame:
+def _meet(dealt: DataFrame, compare, schema: str) -> DataFrame:
     keys = ["hub", "low", "high"]
-    return _in_blocks(members, values).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, schema)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, schema)
+
+
+#: Bits of a filter of keys, 64 a row: its size is bounded whatever the keys are.
+MARK_BITS = 1 << 26
+
+
+def _place(key: str) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(MARK_BITS - 1)).alias("hoptrail_place")
+
+
+def marks(keys: DataFrame, key: str) -> DataFrame:
+    """The bits that a hash of each key sets, as rows of 64, written."""
+    place = F.col("hoptrail_place")
+    return materialize(
+        keys.select(_place(key))
+        .groupBy(F.shiftright(place, 6).alias("hoptrail_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(hoptrail_place & 63 as int)))").alias("hoptrail_bits"))
+    )
+
+
+def marked(df: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """`df` with `hoptrail_marked`: whether its key may be one of those of `marks`; false only if it is none."""
+    rows = df.select("*", _place(key))
+    rows = rows.join(F.broadcast(found), F.shiftright("hoptrail_place", 6) == F.col("hoptrail_word"), "left")
+    bit = F.expr("coalesce(shiftright(hoptrail_bits, cast(hoptrail_place & 63 as int)) & 1 = 1, false)")
+    return rows.withColumn("hoptrail_marked", bit).drop("hoptrail_place", "hoptrail_word", "hoptrail_bits")
 
 
 class NearCopies:
@@ -300,16 +326,22 @@ class NearCopies:
                 )
             release()
 
-        self.rows = materialize(docs.mapInArrow(sketch, f"doc {kind}, node long, n long, sketch array<long>"))
-        self.labels = self._labels(docs, width)
+        scanned = materialize(docs.mapInArrow(sketch, f"doc {kind}, node long, n long, sketch array<long>"))
+        self.rows = materialize(scanned.select("doc", "node", "n"))
+        # Sketches are shuffled once; what follows needs one of each node.
+        nodes = materialize(
+            scanned.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        )
+        discard(scanned)
+        self.labels = self._labels(docs, nodes, width)
 
-    def _lists(self) -> DataFrame:
-        """(value, node, shared): the inverted lists, with each node's number of shared values, written."""
-        nodes = self.rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    def _lists(self, nodes: DataFrame) -> DataFrame:
+        """(value, node, n, shared): the inverted lists, with each node's number of shared values, written."""
         held = nodes.select("node", "n", F.explode("sketch").alias("value"))
         # Written, like every side of a join that may be skewed: Spark can then split both sides.
         frequent = materialize(held.groupBy("value").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"))
-        by_node = held.join(frequent, "value").groupBy("node").agg(
+        # Dealt by node as plain rows, which take less than half of what partly collected lists do.
+        by_node = held.join(frequent, "value").repartition("node").groupBy("node").agg(
             F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("times", "value"))).alias("found")
         )
         size = F.least("n", F.lit(K)).cast("int")
@@ -318,12 +350,12 @@ class NearCopies:
         room = size - least_shared(F.col("n"), self.num, self.den) + 1 - (size - shared)
         listed = F.slice("found", F.lit(1), F.greatest(room, F.lit(0)))
         value = F.explode(F.transform(listed, lambda x: x["value"])).alias("value")
-        lists = materialize(by_node.select("node", shared.alias("shared"), value))
+        lists = materialize(by_node.select("node", "n", shared.alias("shared"), value))
         discard(frequent)
         return lists
 
     def _sets(self, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-        """(node, values): the full sets of the nodes, from one row of each."""
+        """(node, values): the full sets of the nodes, from one row of each; other texts aren't shuffled."""
         one = self.rows.groupBy("node").agg(F.min("doc").alias("doc"))
         asked = materialize(
             one.join(nodes, "node", "left_semi").groupBy("doc").agg(F.collect_list("node").alias("nodes"))
@@ -342,23 +374,34 @@ class NearCopies:
                 )
             release()
 
-        # Documents are shuffled at any size: what is asked for grows with them.
-        found = docs.join(asked.hint("merge"), docs["doc"].eqNullSafe(asked["doc"])).select("text", "nodes")
+        # The texts asked for are shuffled at any size, as they grow with the documents.
+        near = marked(docs, "doc", marks(asked, "doc")).filter("hoptrail_marked")
+        found = near.join(asked.hint("merge"), near["doc"].eqNullSafe(asked["doc"])).select("text", "nodes")
         return found.mapInArrow(whole, "node long, values array<long>").dropDuplicates(["node"])
 
-    def _labels(self, docs: DataFrame, width: int) -> DataFrame:
-        num, den = self.num, self.den
-        lists = self._lists()
+    def _members(self, nodes: DataFrame) -> DataFrame:
+        """(hub, node, n), written: of each family the members that another is near enough to in size."""
+        lists = self._lists(nodes)
         hubs = materialize(
             lists.groupBy("value")
             .agg(F.max(F.struct("shared", "node")).alias("hub"), F.count(F.lit(1)).alias("held"))
             .filter("held > 1")
             .select("value", F.col("hub.node").alias("hub"))
         )
-        members = materialize(lists.join(hubs, "value").select("hub", "node").distinct())
-        sketches = materialize(
-            self.rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        )
+        # The nearest in size are the neighbours by size.
+        by_size, n = Window.partitionBy("hub").orderBy("n"), F.col("n")
+        fits = (F.lag("n").over(by_size) * self.den >= n * self.num) | (n * self.den >= F.lead("n").over(by_size) * self.num)
+        members = lists.join(hubs, "value").select("hub", "node", "n").distinct().withColumn("fits", fits)
+        found = materialize(members.filter("fits").drop("fits"))
+        discard(lists, hubs)
+        return found
+
+    def _labels(self, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+        num, den = self.num, self.den
+        members = self._members(nodes)
+        # Dealt out before the sketches join, and only sketches of members do.
+        dealt = _in_blocks(members, F.least("n", F.lit(K)))
+        sketches = marked(nodes.drop("n"), "node", marks(members, "node")).filter("hoptrail_marked").drop("hoptrail_marked")
 
         def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches, ["hub", "low", "high"]):
@@ -373,11 +416,10 @@ class NearCopies:
                 yield pa.RecordBatch.from_arrays([pa.array(hub), pa.array(found)], ["hub", "node"])
             release()
 
-        open_ = materialize(_meet(members.join(sketches, "node"), "sketch", may, "hub long, node long").distinct())
-        discard(lists, hubs, members, sketches)
-        sets = materialize(self._sets(docs, open_.select("node").distinct(), width))
-        family = materialize(open_.join(sets, "node"))
-        discard(open_, sets)
+        open_ = materialize(_meet(dealt.join(sketches, "node"), may, "hub long, node long").distinct())
+        discard(members, nodes)
+        family = materialize(open_.join(self._sets(docs, open_.select("node").distinct(), width), "node"))
+        discard(open_)
 
         def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _groups(batches, ["hub", "low", "high"]):
@@ -402,7 +444,7 @@ class NearCopies:
         linked = star.select(F.col("a").alias("hub"), F.col("b").alias("node"))
         rest = materialize(others.join(linked, ["hub", "node"], "left_anti"))
         joined = others.join(linked, ["hub", "node"], "left_semi").join(rest.select("hub").distinct(), "hub", "left_semi")
-        among = _meet(rest, "values", link, edges)
+        among = _meet(_in_blocks(rest, F.size("values")), link, edges)
         across = _meet_two(rest, joined, "values", link, edges)
         self.links = materialize(star.unionByName(among).unionByName(across).distinct())
         discard(family, rest)
@@ -435,8 +477,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     text count as one. Documents without words stay.
     """
     found = NearCopies(docs, key, text, **options)
-    kept = materialize(found.groups().filter("kept").select("doc").distinct())
-    out = docs.join(kept, F.col(f"`{key}`").eqNullSafe(kept["doc"]), "left_semi")
+    dropped = materialize(found.groups().groupBy("doc").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc"))
+    # Texts whose key is surely kept aren't shuffled.
+    near = marked(docs.withColumn("hoptrail_key", F.col(f"`{key}`")), "hoptrail_key", marks(dropped, "doc"))
+    asked = near.filter("hoptrail_marked").join(dropped, F.col("hoptrail_key").eqNullSafe(dropped["doc"]), "left_anti")
+    out = near.filter("NOT hoptrail_marked").unionByName(asked).drop("hoptrail_key", "hoptrail_marked")
     # Only repeated keys need the rows' texts to be compared.
     repeated = not found.rows.groupBy("doc").count().filter("count > 1").isEmpty()
     discard(found.rows, found.links, found.labels)

@@ -78,3 +78,55 @@ def test_many_texts_are_hashed_a_part_at_a_time():
     whole = near_dedup.shingle_sets([t and t.encode() for t in texts], 5)
     assert got == [n for values in whole for n in (len(values), int(values.sum()))]
     assert peak < 200e6
+
+
+def test_only_texts_that_are_asked_for_are_shuffled(spark, monkeypatch, tmp_path):
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(64):x}" for _ in range(4000)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(60, texts[0] + " more"), (None, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    sizes, written = {}, iter(range(1000))
+
+    def shuffled():
+        found = files.getAllFiles()
+        for i in range(found.size()):
+            if (file := found.apply(i)).getName().startswith("shuffle_"):
+                sizes[file.getName()] = file.length()
+        return set(sizes)
+
+    def kept_files(df):
+        path = str(tmp_path / f"table{next(written)}")
+        df.write.parquet(path)
+        shuffled()
+        return spark.read.schema(df.schema).parquet(path)
+
+    monkeypatch.setattr(near_dedup, "materialize", kept_files)
+    monkeypatch.setattr(near_dedup, "discard", lambda *tables: None)
+    before, threshold = shuffled(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = kept_files(near_dedup.keep_one(docs, width=2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    assert {r.text for r in kept.collect()} == set(texts)
+    # Sets of the three near copies and the one they share, their texts, and small rows; not the 58 other texts.
+    assert sum(sizes[name] for name in shuffled() - before) < sum(map(len, texts)) / 2
+
+
+def test_marks_of_any_size_give_the_same_rows(spark, monkeypatch):
+    rows = family(200, [0, 1, 1, 2, 5, 9], 6) + [(None, "a b c"), (None, "a b c"), (None, None), (7, "another text of seven")]
+    docs = spark.createDataFrame(rows, "`a.key` long, bits string")
+
+    def kept():
+        return sorted(map(tuple, near_dedup.keep_one(docs, "a.key", "bits", width=2).collect()), key=repr)
+
+    expected = kept()
+    monkeypatch.setattr(near_dedup, "MARK_BITS", 64)
+    assert kept() == expected
+    assert 1 < len(expected) < len(rows)
+    found = near_dedup.marked(docs.withColumnRenamed("a.key", "k"), "k", near_dedup.marks(docs.select(F.col("`a.key`").alias("k")).filter("k IS NULL OR k < 9"), "k"))
+    assert found.filter("NOT hoptrail_marked AND (k IS NULL OR k < 9)").isEmpty()
